@@ -40,18 +40,30 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        self.paths: dict[int, str] = {}
         atexit.register(self.drop)
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write a table and return it as read back."""
         path, self.count = f"{self.root}/{self.count}", self.count + 1
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        # lets Spark's cleaner drop the shuffle files that only this table needed
+        self.spark.sparkContext._jvm.System.gc()
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        return out
+
+    def forget(self, kept: DataFrame) -> None:
+        """Delete a table that nothing needs any more."""
+        self._delete(self.paths.pop(id(kept)))
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def drop(self) -> None:
         try:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(self.root)
         except Exception:  # noqa: BLE001  the session may have ended before the interpreter
             pass
 
