@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of text handed to Python at a time are cut into pieces of about so many characters.
 PIECE_CHARS = 2_000_000
@@ -92,3 +93,14 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[[Ite
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), out)], schema=out)
 
     return df.select(*columns).mapInArrow(run, schema)
+
+
+def with_rows(docs: DataFrame, id_col: str, name: str, scratch: Scratch) -> DataFrame:
+    """``docs`` with a column ``name`` that numbers its rows: the id where that is a whole number, given and unique.
+
+    Else the table is written with numbers first, so that they stay the same.
+    """
+    if docs.schema[id_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        if docs.groupBy(id_col).count().where(F.col("count") > 1).isEmpty() and docs.where(F.col(id_col).isNull()).isEmpty():
+            return docs.withColumn(name, F.col(id_col).cast("long"))
+    return scratch.keep(docs.withColumn(name, F.monotonically_increasing_id()))

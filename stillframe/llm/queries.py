@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_tokens, log_likelihood and mean_log_likelihood of every document."""
+    from .masked_lm import score
+
+    return score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 lower-case hex digits) and component_id of every document."""
     from .simhash import near_duplicates
@@ -24,6 +31,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text_kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document: doc_id, item_id, place in the normalised text and edits."""
+    from .decontaminate import find
+
+    return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base_failed and kept of every document."""
     from .quality_rules import judge
@@ -56,6 +70,13 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages").select("page_id", "url"), entries).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece numbers of every document, how many there are, and whether they decode to the text again."""
+    from .sentencepiece_viterbi import encode
+
+    return encode(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """held_out, lang_pred and score of every document."""
     from .language_id import identify
@@ -63,13 +84,24 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """url, text and n_chars of every page."""
+    from .html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_url_filter": op7_url_filter,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 _LISTED_SQL = " OR ".join(f"u.host = '{h}' OR u.host LIKE '%.{h}'" for h in URL_LISTED)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_rows
+from .common import Scratch, map_rows, with_rows
 from .components import connected_components
 
 SEGMENTS, WIDTH, LINK_BITS = 4, 16, 3
@@ -124,3 +124,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = scratch.keep(named.join(least, "component").select("fp", "component_id"))
     return own.join(named, "fp").select("id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, seed: int = 42) -> DataFrame:
+    """The row of the least id of each group, all columns unchanged; of rows without an id, or with the same, the first."""
+    scratch, columns = Scratch(docs.sparkSession, "simhash-kept"), docs.columns
+    rows = with_rows(docs, id_col, "__row", scratch)
+    found = near_duplicates(rows, "__row", text_col, shingle, seed)
+    kept = found.where("id = component_id").select(F.col("id").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*columns)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_rows
+from .common import Scratch, map_rows, with_rows
 
 WINDOW, ANCHOR = 35, 18
 RUNS = WINDOW - ANCHOR + 1
@@ -168,7 +168,8 @@ def cut(text: str, covered: np.ndarray, layout: bool) -> str:
 def _flags(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``(id, packed)``: every document's repeated blocks (tag 0), those of them that are not repeated whole (1), their repeated windows (2)."""
     index = scratch.keep(_index(docs))
-    common = index.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # written first, so that the join's shuffle is its own and a hot anchor's rows can be split
+    common = scratch.keep(index.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     known = scratch.keep(index.join(common, "h", "left_semi"))
     scratch.forget(index)
     kinds = scratch.keep(known.groupBy("h", "block").agg(F.count("*").alias("n"), F.first("id").alias("id"), F.first("first").alias("first"), F.first("count").alias("count")))
@@ -177,11 +178,11 @@ def _flags(docs: DataFrame, scratch: Scratch) -> DataFrame:
     others = kinds.where("n > 1").join(edge.select("h").distinct(), "h", "left_semi")
     wanted = edge.select("id", _pack(1).alias("packed")).unionByName(others.select("id", _pack(2).alias("packed")))
     windows = scratch.keep(_looked_up(docs, wanted))
-    again = windows.groupBy("a", "b").agg(F.sum("weight").alias("n")).where("n > 1").select("a", "b")
+    again = scratch.keep(windows.groupBy("a", "b").agg(F.sum("weight").alias("n")).where("n > 1").select("a", "b"))
     found = windows.where("weight = 1").join(again, ["a", "b"], "left_semi").select("id", "first", F.lit(1).alias("count"))
     rows = known.select("id", _pack(0).alias("packed")).unionByName(edge.select("id", _pack(1).alias("packed"))).unionByName(found.select("id", _pack(2).alias("packed")))
     flags = scratch.keep(rows.groupBy("id").agg(F.collect_list("packed").alias("packed")))
-    for t in (known, kinds, windows):
+    for t in (common, known, kinds, windows, again):
         scratch.forget(t)
     return flags
 
@@ -200,11 +201,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(docs.sparkSession, "substring")
     keep = keep or [id_col]
     names = [f"k{i}" for i in range(len(keep))]
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
-    whole = d.schema["id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
-    if not whole or not d.groupBy("id").count().where("count > 1 or id is null").isEmpty():
-        d = scratch.keep(d.withColumn("id", F.monotonically_increasing_id()))
-    d = d.withColumn("id", F.col("id").cast("long"))
+    d = docs.select(F.col(id_col).alias("given"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
+    d = with_rows(d, "given", "id", scratch)
     flags = _flags(d, scratch)
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
