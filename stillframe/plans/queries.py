@@ -400,7 +400,7 @@ def contact_uncategorised(s, d):
 @query
 def lab_distance_vectors(s, d):
     e = r.spark(s, d, "SELECT vec_id, embedding FROM {embeddings}")
-    part = lambda i, k, w: w * F.pow(F.col("embedding")[i].cast("double") - k, 2)
+    part = lambda i, k, w: F.pow(w * (F.col("embedding")[i].cast("double") - k), 2)
     return e.select("vec_id", F.round(F.sqrt(part(0, 1.0, 0.5) + part(1, 0.5, 1.0) + part(2, 0.5, 1.0)), 6).alias("distance"))
 
 
