@@ -159,9 +159,14 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def reject(docs: DataFrame, min_score: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with at least ``min_score``, all columns unchanged."""
+    """The rows of ``docs`` whose language is recognised with at least ``min_score``, all columns unchanged.
+
+    Where no row has a language to learn from, every text with a letter stays.
+    """
     learned = docs.withColumn("__held_out", held_out(id_col)).where(F.col(id_col).isNotNull() & ~F.col("__held_out"))
     langs, protos = learn(learned, text_col, lang_col)
     columns = docs.columns
+    if not langs:
+        return docs.where(F.rlike(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(r"\p{L}")))
     found = predict(docs, langs, protos, [*columns], text_col)
     return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*[found[c] for c in columns])
