@@ -11,14 +11,13 @@ from ..schema import BAD, RECOVERED
 
 BORDER, HEADER, PADDING = 2, 28, 4
 CROPPED = ("jpg", "jpeg", "png", "webp")
-PREFIX = 4
 
 
 def match(results: DataFrame, outputs: DataFrame) -> DataFrame:
     """Results with matched, the output file of their name: the same name, else the stem with -cropped, else the first that begins with the stem.
 
-    Prefixes are compared regardless of case, after an equi-join on the first
-    letters; shorter stems are joined on what they have.
+    Beginnings are compared regardless of case, by an equi-join on those of the
+    lengths that stems have.
     """
     names = outputs.select(F.col("output_name").alias("file"))
     d = results.withColumn("stem", stem(F.col("name")))
@@ -27,10 +26,11 @@ def match(results: DataFrame, outputs: DataFrame) -> DataFrame:
     cut = names.select(F.regexp_extract("file", rf"^(.*)-cropped\.(?:{'|'.join(CROPPED)})$", 1).alias("of"), F.col("file").alias("cropped"), F.array_position(F.array(*map(F.lit, CROPPED)), F.regexp_extract("file", r"\.([^.]+)$", 1)).alias("rank")).where("of <> ''")
     cut = cut.groupBy("of").agg(F.min_by("cropped", "rank").alias("cropped"))
     d = d.join(cut, F.col("stem") == F.col("of"), "left").drop("of")
-    low = names.withColumn("low", F.lower("file"))
-    keys = low.select("file", "low", F.explode(F.sequence(F.lit(1), F.least(F.lit(PREFIX), F.length("low")))).alias("n")).withColumn("key", F.expr("substring(low, 1, n)")).drop("n")
-    open_ = d.where("exact is null and cropped is null").select(F.lower("stem").alias("low_stem")).distinct().withColumn("key", F.substring("low_stem", 1, PREFIX))
-    begins = open_.join(keys, "key").where(F.startswith("low", "low_stem")).groupBy("low_stem").agg(F.min("file").alias("begins"))
+    # the first file of every beginning that is as long as some stem
+    open_ = d.where("exact is null and cropped is null").select(F.lower("stem").alias("low_stem")).distinct()
+    lengths = [r[0] for r in open_.select(F.length("low_stem")).distinct().collect()]
+    starts = names.select("file", F.explode(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")).alias("n")).where(F.length("file") >= F.col("n"))
+    begins = starts.groupBy(F.substring(F.lower("file"), F.lit(1), F.col("n")).alias("low_stem")).agg(F.min("file").alias("begins"))
     d = d.join(begins, F.lower("stem") == F.col("low_stem"), "left")
     return d.withColumn("matched", F.coalesce("exact", "cropped", "begins")).drop("stem", "exact", "cropped", "low_stem", "begins")
 
