@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
-#: Units that a worker remembers; longer ones than this many characters are not remembered.
-REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
+#: Units that a worker remembers, and as many older ones; longer ones than this many characters are not remembered.
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, USER_DEFINED, UNUSED, BYTE = 1, 2, 4, 5, 6
 
@@ -159,6 +159,7 @@ class Codec:
         self.spelled = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARKER, " ").encode() if k in (NORMAL, USER_DEFINED, UNUSED) else b"" for p, k in zip(model.pieces, model.kinds)]
         self.find = re.compile(model.unit).findall
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _bytes(self, ch: str) -> list[int]:
         return [self.byte_ids[b] for b in ch.encode("utf-8", "surrogatepass")] if self.byte_ids else [self.unknown_id]
@@ -230,13 +231,26 @@ class Codec:
             total = best[x] + y
             if total > best[x + n]:
                 best[x + n], came[x + n], how[x + n] = total, x, i
-        came, how, out = came.tolist(), how.tolist(), []
-        for u, a, n in zip(units, starts.tolist(), lengths.tolist()):
-            ids, x = [], a + n
-            while x > a:
-                x, i = came[x], how[x]
-                ids += [i] if i >= 0 else self._bytes(u[x - a])[::-1]
-            out.append(np.array(ids[::-1], np.int32).tobytes())
+        # back from all ends together, a piece at a time
+        unit, at = np.arange(len(units)), starts + lengths
+        steps = []
+        while len(unit):
+            steps.append((unit, at, how[at]))
+            at = came[at]
+            on = at > starts[unit]
+            unit, at = unit[on], at[on]
+        unit, end, piece = (np.concatenate(x) for x in zip(*steps))
+        order = np.lexsort((end, unit))
+        piece, many = piece[order].astype(np.int32), np.bincount(unit, minlength=len(units))
+        flat, cuts = piece.tobytes(), (np.cumsum(many) * 4).tolist()
+        out = [flat[a:b] for a, b in zip([0, *cuts], cuts)]
+        end = end[order]
+        for u in np.unique(unit[order][piece < 0]).tolist():  # characters that are spelled in bytes
+            own = slice(cuts[u] // 4 - int(many[u]), cuts[u] // 4)
+            ids: list[int] = []
+            for i, e in zip(piece[own].tolist(), end[own].tolist()):
+                ids += [i] if i >= 0 else self._bytes(units[u][e - 1 - starts[u]])
+            out[u] = np.array(ids, np.int32).tobytes()
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -246,8 +260,11 @@ class Codec:
         split = [self.units(t) for t in texts]
         new = {u for own in split for u in own if u not in self.known}
         if len(self.known) + len(new) > REMEMBERED:
-            kept = {u for own in split for u in own}
-            self.known = {u: v for u, v in self.known.items() if u in kept}
+            # what is met again is taken over, the rest goes with the next change
+            self.older, self.known = self.known, {"": self.known[""]}
+            new = {u for own in split for u in own if u}
+        self.known.update((u, self.older[u]) for u in new & self.older.keys())
+        new -= self.older.keys()
         todo, size = [], 0
         for u in sorted(new, key=len):
             todo.append(u)
