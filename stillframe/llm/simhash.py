@@ -10,6 +10,7 @@ a condition of the join, and only then is the whole distance taken.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -25,24 +26,36 @@ SEGMENTS, WIDTH, LINK_BITS = 4, 16, 3
 PAIRWISE = 2000
 
 
-def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """Signed 64-bit SimHash of lower-cased (A-Z) word shingles; 0 without words.
+def digests(text: str | None, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """XXH64 of every word shingle of a text, in order and with repeats; A-Z are lower-cased.
 
-    Words are runs without ASCII white space, repeats count, and a text of fewer
-    words than a shingle is one shingle. A bit is set if it is in over half.
+    Words are runs without ASCII white space; a text of fewer words than a
+    shingle is one shingle, and one without words has none.
     """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     n, joined = max(1, len(words) - shingle + 1), b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate(([0], ends[: n - 1])).tolist()
-    ends = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
-    digest, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    starts = np.concatenate(([0], ends[: n - 1]))
+    ends = ends[min(shingle, len(words)) - 1 :] - 1
+    digest, out = xxhash.xxh64_intdigest, np.empty(n, np.uint64)
     for at in range(0, n, 65_536):
-        h = np.array([digest(joined[a:b], seed) for a, b in zip(starts[at : at + 65_536], ends[at : at + 65_536])], np.uint64)
-        total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint32)
-    return int(np.packbits(total * 2 > n, bitorder="little").view(np.int64)[0])
+        cuts = zip(starts[at : at + 65_536].tolist(), ends[at : at + 65_536].tolist())
+        out[at : at + 65_536] = [digest(joined[a:b], seed) for a, b in cuts]
+    return out
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """Signed 64 bits, each set if it is in over half of the digests; 0 of none."""
+    total = np.zeros(64, np.int64)
+    for at in range(0, len(h), 65_536):
+        total += np.unpackbits(h[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint32)
+    return int(np.packbits(total * 2 > len(h), bitorder="little").view(np.int64)[0])
+
+
+def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
+    return fingerprint_of(digests(text, shingle, seed))
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -100,6 +113,16 @@ def links(fps: DataFrame, scratch: Scratch, pairwise: int = PAIRWISE) -> DataFra
     return edges
 
 
+def _components(own: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(id, fp, component_id)`` of rows ``(id, fp)`` by edges between fingerprints."""
+    fps = own.groupBy("fp").agg(F.min("id").alias("least"))
+    found = connected_components(edges, scratch)
+    named = fps.join(found, fps["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = scratch.keep(named.join(least, "component").select("fp", "component_id"))
+    return own.join(named, "fp").select("id", "fp", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, pairwise: int = PAIRWISE) -> DataFrame:
     """``(id, fp, component_id)`` per row: the group by links of at most three bits, named by its least id.
 
@@ -107,29 +130,106 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     give repeated results. Rows whose id is null take part in links; a group
     without any id has a null component. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "simhash")
+    scratch = Scratch(docs.sparkSession, "simhash")
 
     def prints(rows):
         for i, text in rows:
             yield i, fingerprint(text, shingle, seed)
 
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = d.schema["id"].dataType.simpleString()
-    own = scratch.keep(map_rows(d, ["id", "text"], f"id {kind}, fp long", prints))
+    own = scratch.keep(map_rows(d, ["id", "text"], f"id {d.schema['id'].dataType.simpleString()}, fp long", prints))
     # copies are gathered before anything is compared
-    fps = scratch.keep(own.groupBy("fp").agg(F.min("id").alias("least")))
-    found = connected_components(links(fps.select("fp"), scratch, pairwise), scratch)
-    named = fps.join(found, fps["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = scratch.keep(named.join(least, "component").select("fp", "component_id"))
-    return own.join(named, "fp").select("id", "fp", "component_id")
+    fps = scratch.keep(own.select("fp").distinct())
+    return _components(own, links(fps, scratch, pairwise), scratch)
+
+
+# Similar texts beyond three bits.
+#
+# Two texts whose five-word shingles agree to 0.8 differ in some ten bits of 64,
+# too many for segments that a join could use. Candidates are therefore texts
+# that share the least shingles under four of 64 orders; the ring prunes them
+# at a distance that such texts keep to, and the shingles themselves decide.
+
+BANDS, ROWS, WIDE_BITS, RING = 16, 4, 20, 8
+#: Candidates of one bucket are compared pair by pair up to this number, beyond it each with two of them.
+SMALL_BUCKET = 16
+
+_ORDERS = np.random.default_rng(2).integers(1, 1 << 63, BANDS * ROWS, np.uint64) | np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One key for each band: the least hashes of its orders together."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 4096):
+        h = hashes[at : at + 4096, None] * _ORDERS
+        least = np.minimum(least, (h ^ (h >> np.uint64(29))).min(0))
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for v in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ v) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(32)
+    return keys.view(np.int64)
+
+
+def _ring(a: str, b: str, bits: int) -> Column:
+    """Whether some segment begins a chain whose first l segments differ by l * bits / RING at most, for every l."""
+    width = 64 // RING
+    d = [F.bit_count(F.expr(f"shiftrightunsigned({a} ^ {b}, {width * i}) & {(1 << width) - 1}")) for i in range(RING)]
+    chains = [[sum((d[(s + k) % RING] for k in range(n)), F.lit(0)) <= n * bits // RING for n in (1, 2, 3, RING)] for s in range(RING)]
+    out = F.lit(False)
+    for c in chains:
+        out = out | (c[0] & c[1] & c[2] & c[3])
+    return out
+
+
+def similar_links(docs: DataFrame, sketches: DataFrame, scratch: Scratch, similarity: float, shingle: int, seed: int = 42) -> DataFrame:
+    """Edges ``(a, b)`` between fingerprints of texts that agree to ``similarity`` in their different shingles.
+
+    ``docs(id, text)``, ``sketches(id, fp, bands)``. One text stands for all of
+    one fingerprint. In buckets of more than SMALL_BUCKET texts each is compared
+    with the first and the last, so that rows stay linear in the texts.
+    """
+    first = sketches.groupBy("fp").agg(F.min("id").alias("id"))
+    rows = sketches.join(first, ["fp", "id"], "left_semi").select("id", "fp", F.explode(F.array_distinct("bands")).alias("key"))
+    shared = scratch.keep(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last")).where("n > 1"))
+    rows = scratch.keep(rows.join(shared, "key"))
+    few, many = rows.where(F.col("n") <= SMALL_BUCKET), rows.where(F.col("n") > SMALL_BUCKET)
+    pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b")
+    for hub in ("first", "last"):
+        pairs = pairs.unionByName(many.where(F.col("id") != F.col(hub)).select(F.least("id", hub).alias("a"), F.greatest("id", hub).alias("b")))
+    prints = rows.select("id", "fp").distinct()
+    pairs = pairs.distinct().join(prints.toDF("a", "fa"), "a").join(prints.toDF("b", "fb"), "b")
+    pairs = scratch.keep(pairs.where(_ring("fa", "fb", WIDE_BITS) & (F.bit_count(F.expr("fa ^ fb")) <= WIDE_BITS)))
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+    def sets(rows):
+        for i, text in rows:
+            yield i, (np.unique(digests(text, shingle, seed)) >> np.uint64(1)).astype(np.int64).tolist()
 
+    members = scratch.keep(map_rows(docs.join(wanted, "id", "left_semi"), ["id", "text"], "id long, members array<long>", sets))
+    both = pairs.join(members.toDF("a", "ma"), "a").join(members.toDF("b", "mb"), "b")
+    in_both = F.size(F.array_intersect("ma", "mb"))
+    return both.where(in_both >= similarity * (F.size("ma") + F.size("mb") - in_both)).select(F.col("fa").alias("a"), F.col("fb").alias("b"))
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, seed: int = 42) -> DataFrame:
-    """The row of the least id of each group, all columns unchanged; of rows without an id, or with the same, the first."""
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
+    """The row of the least id of each group, all columns unchanged; of rows without an id, or with the same, the first.
+
+    Texts are of one group if they link at three bits, or agree to ``similarity``
+    in their shingles as ``similar_links`` finds. Texts without words are one
+    group. An empty table gives an empty result.
+    """
     scratch, columns = Scratch(docs.sparkSession, "simhash-kept"), docs.columns
     rows = with_rows(docs, id_col, "__row", scratch)
-    found = near_duplicates(rows, "__row", text_col, shingle, seed)
+    d = rows.select(F.col("__row").alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def sketch(rows):
+        for i, text in rows:
+            h = digests(text, shingle, seed)
+            yield i, fingerprint_of(h), band_keys(np.unique(h)).tolist() if len(h) else []
+
+    own = scratch.keep(map_rows(d, ["id", "text"], "id long, fp long, bands array<long>", sketch))
+    fps = scratch.keep(own.select("fp").distinct())
+    edges = links(fps, scratch).unionByName(similar_links(d, own, scratch, similarity, shingle, seed))
+    found = _components(own.select("id", "fp"), edges, scratch)
     kept = found.where("id = component_id").select(F.col("id").alias("__row"))
     return rows.join(kept, "__row", "left_semi").select(*columns)

@@ -151,3 +151,76 @@ def test_long_documents_in_pieces(spark, monkeypatch):
     a, _ = substring.window_hashes(w, starts)
     monkeypatch.setattr(substring, "CHUNK", 1 << 20)
     assert (a == substring.window_hashes(w, starts)[0]).all()
+
+
+def brute_kept_ids(rows, similarity=0.8):
+    """Least ids of the groups by three bits or by shared five-word shingles."""
+    sets, prints, parent = {}, {}, {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+        prints[i] = simhash.fingerprint(t, 5) & (2**64 - 1)
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        root(a)
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if (prints[a] ^ prints[b]).bit_count() <= 3 or (both and both >= similarity * (len(sets[a]) + len(sets[b]) - both)):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {root(i) for i in ids}
+
+
+def test_one_of_each_group(spark, small):
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(11)
+    docs = pd.read_parquet(f"{small}/documents.parquet").head(300)
+    rows = list(zip(docs.doc_id.tolist(), docs.text))
+    long = [t for t in docs.text if len(t.split()) > 150]
+    for k in range(60):  # near copies with some words changed
+        words = long[k % 20].split()
+        for _ in range(rng.randint(1, max(2, len(words) // 60))):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(1000)}"
+        rows.append((10_000 + k, " ".join(words)))
+    table = docs_of(spark, [t for _, t in rows], [i for i, _ in rows])
+    for bucket in (16, 2):  # the second compares with two texts of each bucket only
+        simhash.SMALL_BUCKET, before = bucket, simhash.SMALL_BUCKET
+        try:
+            kept = simhash.keep_one(table)
+        finally:
+            simhash.SMALL_BUCKET = before
+        assert kept.columns == table.columns
+        got, want = {r.doc_id for r in kept.collect()}, brute_kept_ids(rows)
+        assert got == want if bucket == 16 else len(got ^ want) <= 3
+
+
+def test_ring_lets_all_close_pairs_pass(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for _ in range(3000):
+        a, b = rng.getrandbits(64), 0
+        b = a
+        for bit in rng.sample(range(64), rng.randint(0, 30)):
+            b ^= 1 << bit
+        rows.append(tuple(x - (1 << 64) if x >> 63 else x for x in (a, b)))
+    d = spark.createDataFrame(rows, "a long, b long")
+    got = d.select("a", "b", simhash._ring("a", "b", 20).alias("passed")).collect()
+    near = [r for r in got if ((r.a ^ r.b) & (2**64 - 1)).bit_count() <= 20]
+    assert near and all(r.passed for r in near) and not all(r.passed for r in got)
+
+
+def test_kept_rows_of_odd_tables(spark):
+    rows = docs_of(spark, [None, "", "a b c", "a b c", "x " * 200_000], [1, 2, 3, 3, None])
+    assert sorted((r.doc_id or -1) for r in simhash.keep_one(rows).collect()) == [-1, 1, 3]
+    assert simhash.keep_one(rows.limit(0)).count() == 0
