@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 import os
-import shutil
 import time
 from dataclasses import dataclass
 
@@ -15,7 +14,7 @@ from .config import Rules
 from .functions.text import output_extension
 from .kernels.strategy import Strategy
 from .operators import control, gate, mapping, stats
-from .operators.crop_stage import cropped, written
+from .operators.crop_stage import copied, cropped, written
 from .operators.ordering import numbered
 from .schema import BAD, FLAGGED, METRICS, RESULTS
 from .sources import files
@@ -66,7 +65,7 @@ class Engine:
             found = control.not_done(found, checkpoint.table(self.spark))
         d = mapping.lookup(numbered(found.withColumn("lower_name", F.lower("name")), ["lower_name", "name"], "seq"), rows)
         if incremental:
-            expected = mapping.proposed_names(d, g.filename_pattern, output_extension(g.output_format))
+            expected = mapping.proposed_names(d, rows, g.filename_pattern, output_extension(g.output_format))
             there = files.listing(self.spark, output_dir).select(F.col("name").alias("output_name"), F.col("mtime").alias("output_mtime"))
             newest = F.lit(max(references)).cast("double").cast("timestamp") if references else None
             d = control.to_process(d, expected, there, newest, force)
@@ -78,17 +77,24 @@ class Engine:
         With a gate that aborts, or a checkpoint, images are handled in stretches
         of the gate's interval, in order of their names; else all at once.
         """
+        few, before = "spark.sql.execution.arrow.maxRecordsPerBatch", self.spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        self.spark.conf.set(few, "8")  # rows of pixels are large
+        try:
+            return self._run(input_dir, output_dir, review_dir, rows, limit, checkpoint, incremental, references, force)
+        finally:
+            self.spark.conf.set(few, before)
+
+    def _run(self, input_dir: str, output_dir: str, review_dir: str, rows: DataFrame, limit: int | None, checkpoint: Checkpoint | None, incremental: bool, references: tuple, force: set[str] | None) -> Run:
         began = time.time()
         for d in (output_dir, review_dir):
             os.makedirs(d, exist_ok=True)
-        self.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
         place, g = workspace(self.spark), self.rules.gate
         todo, total = self.todo(input_dir, output_dir, rows, limit, checkpoint, incremental, references, force)
         todo = kept(numbered(todo.drop("lower_name"), ["seq"]), f"{place}/todo")
         n, results = todo.count(), self.spark.createDataFrame([], RESULTS)
         stretch = g.check_interval if checkpoint is not None or (g.enabled and g.action == "abort") else max(n, 1)
         for k, at in enumerate(range(0, n, stretch)):
-            own = self._stretch(todo.where((F.col("rn") > at) & (F.col("rn") <= at + stretch)), input_dir, output_dir, review_dir, results, f"{place}/{k}")
+            own = self._stretch(todo.where((F.col("rn") > at) & (F.col("rn") <= at + stretch)), rows, input_dir, output_dir, review_dir, results, f"{place}/{k}")
             results = results.unionByName(own)
             if checkpoint is not None:
                 for r in own.select("name", "status", "output_names", "flags").collect():
@@ -101,12 +107,12 @@ class Engine:
                     raise GateBreach(message, results)
         return Run(results, total, time.time() - began)
 
-    def _stretch(self, todo: DataFrame, input_dir: str, output_dir: str, review_dir: str, before: DataFrame, place: str) -> DataFrame:
+    def _stretch(self, todo: DataFrame, rows: DataFrame, input_dir: str, output_dir: str, review_dir: str, before: DataFrame, place: str) -> DataFrame:
         g = self.rules.globals
         ext = output_extension(g.output_format)
-        mapped = todo.where("mapping is not null")
+        mapped = todo.where("sku_key is not null")
         crops = kept(cropped(files.decoded(self.spark, input_dir, mapped.select("seq", "category", "path")), self.rules, self.primary, self.fallback), f"{place}/crops")
-        names = mapping.proposed_names(mapped, g.filename_pattern, ext).select("seq", "row_idx", "output_name")
+        names = mapping.proposed_names(mapped, rows, g.filename_pattern, ext).select("seq", "row_idx", "output_name")
         wanted = names.join(crops.select("seq", F.col("encoded").isNotNull().alias("has_image")), "seq")
         earlier = before.select(F.explode("output_names").alias("output_name"))
         there = files.listing(self.spark, output_dir).select(F.col("name").alias("output_name"))
@@ -119,7 +125,7 @@ class Engine:
             F.bool_or("conflict").alias("conflict"),
         )
         none = F.array().cast("array<string>")
-        base = todo.select("seq", "name", F.col("path").alias("source_path"), "category", F.col("size_bytes").alias("source_size_bytes"), F.col("mapping").isNotNull().alias("mapped"))
+        base = todo.select("seq", "name", F.col("path").alias("source_path"), "category", F.col("size_bytes").alias("source_size_bytes"), F.col("sku_key").isNotNull().alias("mapped"))
         d = base.join(crops.drop("encoded", "preview"), "seq", "left").join(out, "seq", "left")
         d = d.withColumns({
             "status": F.when(~F.col("mapped"), FLAGGED).otherwise(F.col("status")),
@@ -130,9 +136,7 @@ class Engine:
         columns = [p.split()[0] for p in RESULTS.replace(f" {METRICS}", " x").split(", ")]
         results = kept(d.select(*columns), f"{place}/results")
         written(results.where(F.col("status") == FLAGGED).join(crops.select("seq", "preview"), "seq").withColumn("file", F.concat(F.regexp_replace("name", r"\.[^.]+$", ""), F.lit("_review.png"))), review_dir, "file", "preview")
-        for r in results.where(F.col("status") == FLAGGED).select("source_path").toLocalIterator():
-            path = r["source_path"].removeprefix("file:")
-            shutil.copy2("/" + path.lstrip("/"), review_dir)
+        copied(results.where(F.col("status") == FLAGGED).select(F.col("source_path").alias("path")), review_dir)
         return results
 
 

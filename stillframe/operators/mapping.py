@@ -60,30 +60,30 @@ def issues(rows: DataFrame) -> DataFrame:
 
 
 def by_sku(rows: DataFrame) -> DataFrame:
-    """One row per key with its mapping rows in order; a SKU has few rows, by its meaning."""
-    columns = ("seq", *MAPPING_REQUIRED, *MAPPING_OPTIONAL)
-    return valid(rows).groupBy("sku_key").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
+    """One row per key with the number of its mapping rows and the category of the first."""
+    return valid(rows).groupBy("sku_key").agg(F.count("*").alias("n_rows"), F.min_by("category", "seq").alias("category"))
 
 
 def lookup(images: DataFrame, rows: DataFrame) -> DataFrame:
-    """Images with the mapping rows of their stem, else of their whole name, regardless of case; null if there are none."""
+    """Images with stem, and sku_key, n_rows and category of the mapping of their stem, else of their whole name, regardless of case; the key is null without one."""
     keyed = by_sku(rows)
+    side = lambda k: keyed.select(F.col("sku_key").alias(f"key{k}"), F.col("n_rows").alias(f"n{k}"), F.col("category").alias(f"category{k}"))
     d = images.withColumn("stem", stem(F.col("name")))
-    d = d.join(keyed.select(F.col("sku_key").alias("k1"), F.col("rows").alias("by_stem")), F.lower("stem") == F.col("k1"), "left")
-    d = d.join(keyed.select(F.col("sku_key").alias("k2"), F.col("rows").alias("by_name")), F.lower("name") == F.col("k2"), "left")
-    found = F.coalesce("by_stem", "by_name")
-    return d.withColumn("mapping", found).withColumn("category", F.coalesce(F.col("mapping")[0]["category"], F.lit(""))).drop("k1", "k2", "by_stem", "by_name")
+    d = d.join(side(1), F.lower("stem") == F.col("key1"), "left").join(side(2), F.lower("name") == F.col("key2"), "left")
+    found = {"sku_key": F.coalesce("key1", "key2"), "n_rows": F.coalesce("n1", "n2", F.lit(0)), "category": F.when(F.col("key1").isNotNull(), F.col("category1")).otherwise(F.coalesce("category2", F.lit("")))}
+    return d.withColumns(found).drop(*[f"{c}{k}" for c in ("key", "n", "category") for k in (1, 2)])
 
 
 def missing(images: DataFrame, rows: DataFrame) -> DataFrame:
-    return lookup(images, rows).where("mapping is null").drop("mapping", "category")
+    return lookup(images, rows).where("sku_key is null").drop("sku_key", "n_rows", "category")
 
 
-def proposed_names(looked_up: DataFrame, pattern: str, ext: str) -> DataFrame:
-    """One row for each image and mapping row with the output name that the pattern gives."""
-    d = looked_up.where("mapping is not null").select("*", F.posexplode("mapping").alias("row_idx", "m"))
-    name = from_pattern(pattern, ext, source_stem=F.col("stem"), store_article=F.col("m.store_article"), suffix=F.col("m.suffix"))
-    return d.withColumn("output_name", name).drop("mapping")
+def proposed_names(looked_up: DataFrame, rows: DataFrame, pattern: str, ext: str) -> DataFrame:
+    """One row for each image and mapping row of its key, with row_idx from 0 and the output name that the pattern gives."""
+    place = F.row_number().over(Window.partitionBy("sku_key").orderBy("seq")) - 1
+    own = valid(rows).select("sku_key", place.alias("row_idx"), F.col("store_article").alias("__article"), F.col("suffix").alias("__suffix"))
+    name = from_pattern(pattern, ext, source_stem=F.col("stem"), store_article=F.col("__article"), suffix=F.col("__suffix"))
+    return looked_up.join(own, "sku_key").withColumn("output_name", name).drop("__article", "__suffix")
 
 
 def first_of_each_stem(images: DataFrame) -> DataFrame:

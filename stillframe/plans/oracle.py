@@ -176,7 +176,7 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT seq, 'missing_mapping', 'SKU ''' || supplier_sku || ''': missing category' FROM valid WHERE category = ''
       UNION ALL SELECT seq, 'naming_conflict', 'SKU ''' || supplier_sku || ''': unsafe output filename ''' || output_name || '''' FROM unsafe
       UNION ALL SELECT -1, 'naming_conflict', 'Output filename ''' || output_name || ''' appears ' || n || ' times' FROM dups""",
-    "image_lookup": LOOKUP + ", found AS (SELECT sku_key, count(*) AS n, string_agg(store_article, ',' ORDER BY seq) AS articles, arg_min(category, seq) AS category FROM valid GROUP BY sku_key) SELECT k.seq, k.name, coalesce(f.n, 0) AS n_rows, f.articles, coalesce(f.category, '') AS category FROM keyed k LEFT JOIN found f USING (sku_key)",
+    "image_lookup": LOOKUP + ", found AS (SELECT sku_key, count(*) AS n, arg_min(category, seq) AS category FROM valid GROUP BY sku_key) SELECT k.seq, k.name, k.sku_key, coalesce(f.n, 0) AS n_rows, coalesce(f.category, '') AS category FROM keyed k LEFT JOIN found f USING (sku_key)",
     "image_missing_mapping": LOOKUP + "SELECT seq, name FROM keyed WHERE sku_key IS NULL",
     "proposed_filenames": LOOKUP + "SELECT k.seq, r.row_idx, r.store_article || '_' || r.suffix || '-' || k.stem || '.jpg' AS output_name FROM keyed k JOIN ranked r USING (sku_key)",
     "discover_filter_sort": IMAGES + f"SELECT seq, name FROM images WHERE {_IS_IMAGE} ORDER BY lower(name), name",

@@ -165,8 +165,7 @@ def mapping_unsafe_names(s, d):
 @query
 def image_lookup(s, d):
     found = mapping.lookup(_images(s, d), _mapping(s, d))
-    articles = F.array_join(F.transform("mapping", lambda m: m["store_article"]), ",")
-    return found.select("seq", "name", F.coalesce(F.size("mapping"), F.lit(0)).cast("long").alias("n_rows"), articles.alias("articles"), "category")
+    return found.select("seq", "name", "sku_key", "n_rows", "category")
 
 
 @query
@@ -176,7 +175,7 @@ def image_missing_mapping(s, d):
 
 @query
 def proposed_filenames(s, d):
-    found = mapping.proposed_names(mapping.lookup(_images(s, d), _mapping(s, d)), "{store_article}_{suffix}-{source_stem}.{ext}", "jpg")
+    found = mapping.proposed_names(mapping.lookup(_images(s, d), _mapping(s, d)), _mapping(s, d), "{store_article}_{suffix}-{source_stem}.{ext}", "jpg")
     return longs(found.select("seq", "row_idx", "output_name"), "row_idx")
 
 
@@ -313,7 +312,7 @@ def flag_sets(s, d):
 
 
 def _writes(s: SparkSession, d: str) -> DataFrame:
-    rows = mapping.proposed_names(mapping.lookup(_images(s, d), _mapping(s, d)), "{store_article}_{suffix}.{ext}", "jpg")
+    rows = mapping.proposed_names(mapping.lookup(_images(s, d), _mapping(s, d)), _mapping(s, d), "{store_article}_{suffix}.{ext}", "jpg")
     return rows.select("output_name", "seq", "row_idx", (F.col("seq") % 9 != 0).alias("has_image"))
 
 
@@ -331,7 +330,7 @@ def resume_filter(s, d):
 
 def _proposed(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     images = r.spark(s, d, "SELECT concat('SKU', o_orderkey, '.jpg') AS name, o_orderkey AS seq, o_orderdate AS mtime FROM {orders}")
-    rows = mapping.proposed_names(mapping.lookup(images, _mapping(s, d)), "{source_stem}-{store_article}.{ext}", "jpg").select("name", "mtime", "category", "output_name")
+    rows = mapping.proposed_names(mapping.lookup(images, _mapping(s, d)), _mapping(s, d), "{source_stem}-{store_article}.{ext}", "jpg").select("name", "mtime", "category", "output_name")
     outputs = r.spark(s, d, "SELECT concat('SKU', o_orderkey, '-ART', CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 1500 ELSE (o_orderkey + o_custkey % 2) % 1500 END, '.jpg') AS output_name, CASE WHEN o_custkey % 3 = 0 THEN o_orderdate - INTERVAL '1' DAY ELSE o_orderdate + INTERVAL '1' DAY END AS output_mtime FROM {orders}")
     return images, rows, outputs
 

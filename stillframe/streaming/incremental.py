@@ -32,7 +32,7 @@ def process_new(spark: SparkSession, folder: str, rows: DataFrame, rules: Rules,
 
     def handle(batch: DataFrame, number: int) -> None:
         d = mapping.lookup(batch.withColumn("seq", F.xxhash64("path")), rows)
-        crops = cropped(decoded(batch.sparkSession, folder, d.where("mapping is not null").select("seq", "category", "path")), rules, primary, fallback)
+        crops = cropped(decoded(batch.sparkSession, folder, d.where("sku_key is not null").select("seq", "category", "path")), rules, primary, fallback)
         out = d.select("seq", "name", "path", "category").join(crops.drop("preview"), "seq", "left")
         out = out.withColumns({"status": F.coalesce("status", F.lit("flagged")), "flags": F.coalesce("flags", F.array(F.lit("missing_mapping")))})
         out.write.mode("overwrite").parquet(f"{results_path}/batch={number}")

@@ -144,7 +144,7 @@ def test_mapping_files(spark, tmp_path):
     assert found == {"SKU 's1': missing category", "Row 2: empty supplier_sku", "Row 3: empty store_article or suffix for SKU 'S4'", "SKU 'S5': unsafe output filename '100/001_fr ont.jpg'", "Output filename 'A1_front.jpg' appears 2 times"}
     from stillframe.operators import mapping as mp
 
-    assert {r.sku_key: len(r.rows) for r in mp.by_sku(rows).collect()} == {"s1": 2, "s5": 1, "s6": 1}
+    assert {r.sku_key: r.n_rows for r in mp.by_sku(rows).collect()} == {"s1": 2, "s5": 1, "s6": 1}
     for name, text in (("no.csv", None), ("wrong.csv", "sku,article\n1,2\n")):
         if text:
             (tmp_path / name).write_text(text)
