@@ -150,7 +150,7 @@ def test_articles_of_the_test_pages(spark, small):
 
 def test_markup(spark):
     cases = {
-        1: ("<nav>menu</nav><article><h1>A &amp; B</h1><p>one <b>two</b>\n three&nbsp;four<p>five<br>six<div class='ad box'>buy<p>now</div><aside>side</aside><p>&#x41;&eacute;</article><footer>f</footer>", "A & B\none two three four\nfive\nsix\nAé"),
+        1: ("<nav>menu</nav><article><h1>A &amp; B</h1><p>one <b>two</b>\n three&nbsp;four<p>five<br>six<div class='ad box'>buy<p>now</div><div class=cookieBanner>ok?</div><aside>side</aside><p>&#x41;&eacute;</article><footer>f</footer>", "A & B\none two three four\nfive\nsix\nAé"),
         2: ("<main><section id=comments><article><p>said</article></section><p>kept<form><input><p>no</form></main><p>outside", "kept"),
         3: ("<p>no article here<div class=cookie-notice>we use</div><ul><li>a<li>b</ul><!-- <p>no -->tail", "no article here\na\nb\ntail"),
         4: ("<article><p>open <i>never closed", "open never closed"),
