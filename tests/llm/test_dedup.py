@@ -224,3 +224,19 @@ def test_kept_rows_of_odd_tables(spark):
     rows = docs_of(spark, [None, "", "a b c", "a b c", "x " * 200_000], [1, 2, 3, 3, None])
     assert sorted((r.doc_id or -1) for r in simhash.keep_one(rows).collect()) == [-1, 1, 3]
     assert simhash.keep_one(rows.limit(0)).count() == 0
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    import random
+
+    from stillframe.llm.components import connected_components
+
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(0, 64)] + [(1000 + i, 999) for i in range(50)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)] + [(300, 300), (5, 6), (6, 5), (None, 3)]
+    order = list(range(2000, 2040))
+    rng.shuffle(order)
+    edges += list(zip(order, order[1:]))
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test")).collect()}
+    want = {**{i: 0 for i in range(65)}, **{i: 999 for i in range(999, 1050)}, **{i: 200 for i in range(200, 209)}, **{i: 2000 for i in order}}
+    assert got == want
+    assert connected_components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test")).count() == 0
