@@ -103,7 +103,8 @@ def _hot(fps: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame, scratch: Scratch, pairwise: int = PAIRWISE) -> DataFrame:
     """Edges ``(a, b)`` over distinct ``fp``, such that all within three bits are connected."""
-    rows = _keys(fps)
+    # some forty rows come from each fingerprint, so few files of them must not mean few tasks
+    rows = _keys(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     shared = scratch.keep(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("up").alias("least")).where("n > 1 and least = 0").select("key", "n"))
     rows = scratch.keep(rows.join(shared, "key").select("key", "fp", "start", "up", "n"))
     edges = _cold(rows.where(F.col("n") <= pairwise).drop("n"))
@@ -152,7 +153,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 BANDS, ROWS, WIDE_BITS, RING = 16, 4, 20, 8
 #: Candidates of one bucket are compared pair by pair up to this number, beyond it each with two of them.
-SMALL_BUCKET = 16
+SMALL_BUCKET = 64
 
 _ORDERS = np.random.default_rng(2).integers(1, 1 << 63, BANDS * ROWS, np.uint64) | np.uint64(1)
 
