@@ -10,7 +10,6 @@ a condition of the join, and only then is the whole distance taken.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
