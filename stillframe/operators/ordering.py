@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges that a table's order is cut into.
-RANGES = 64
+#: Ranges that a table's order is cut into, at least and at most; between these as many as a shuffle has partitions.
+LEAST_RANGES, MOST_RANGES = 64, 4096
+
 
+def _range_of(df: DataFrame, key: Column) -> Column:
+    """Number of the range that a key falls into; bounds are approximate percentiles, so ranges have about as many rows each.
 
-def _range_of(df: DataFrame, key: Column, ranges: int) -> Column:
-    """Number of the range that a key falls into; bounds are approximate percentiles, so ranges have about as many rows each."""
+    A key is looked for among every so many bounds first, and then among those
+    that follow the one found.
+    """
+    ranges = max(LEAST_RANGES, min(MOST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     bounds = df.agg(F.percentile_approx(key, [k / ranges for k in range(1, ranges)], 10_000).alias("b")).first()["b"] or []
     cuts = sorted(set(bounds))
     if not cuts:
         return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda b: b <= key))
+    step = math.isqrt(len(cuts) - 1) + 1
+    parts = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    not_over = lambda array: F.size(F.filter(array, lambda b: b <= key))
+    literal = lambda values: F.array(*map(F.lit, values))
+    at = not_over(literal([p[0] for p in parts]))
+    inside = not_over(F.element_at(F.array(*map(literal, parts)), F.greatest(F.lit(1), at)))
+    return F.when(at == 0, F.lit(0)).otherwise((at - 1) * step + inside)
 
 
 def text_key(c: Column, skip: int = 0) -> Column:
@@ -34,22 +47,26 @@ def _key(df: DataFrame, column: str) -> Column:
     return text_key(c, shared)
 
 
-def numbered(df: DataFrame, order: list[str], name: str = "rn", ranges: int = RANGES) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], name: str = "rn") -> DataFrame:
     """``df`` with a row number from 1 on over ``order``, whose first column leads.
 
     Rows are dealt into ranges of the leading column, numbered there, and moved
     up by how many rows earlier ranges have; those counts are one row a range.
     """
-    d = df.withColumn("__range", _range_of(df, _key(df, order[0]), ranges))
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = d.groupBy("__range").agg(F.count("*").alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    d = df.withColumn("__range", _range_of(df, _key(df, order[0])))
+    found = {r[0]: r[1] for r in d.groupBy("__range").count().collect()}
+    before = [0]
+    for i in range(max(found, default=0)):
+        before.append(before[-1] + found.get(i, 0))
     own = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
-    return d.join(F.broadcast(counts), "__range").withColumn(name, F.col("__before") + own).drop("__range", "__before")
+    return d.withColumn(name, F.element_at(F.array(*[F.lit(n).cast("long") for n in before]), F.col("__range") + 1) + own).drop("__range")
 
 
-def running_counts(df: DataFrame, order: list[str], group: str, values: dict[str, Column], ranges: int = RANGES) -> DataFrame:
+def running_counts(df: DataFrame, order: list[str], group: str, values: dict[str, Column]) -> DataFrame:
     """``df`` with, for each value, its sum over the rows of the same group up to this one in ``order``."""
-    d = df.withColumn("__range", _range_of(df, _key(df, order[0]), ranges)).withColumns({f"__{k}": v for k, v in values.items()})
+    if df.schema[order[0]].dataType.simpleString() == "string":  # numbers are dealt more evenly, and joined without their expression
+        return running_counts(numbered(df, order, "__rn"), ["__rn"], group, values).drop("__rn")
+    d = df.withColumn("__range", _range_of(df, _key(df, order[0]))).withColumns({f"__{k}": v for k, v in values.items()})
     sums = d.groupBy(group, "__range").agg(*[F.sum(f"__{k}").alias(f"__s_{k}") for k in values])
     before = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(group, "__range", *[F.coalesce(F.sum(f"__s_{k}").over(before), F.lit(0)).alias(f"__b_{k}") for k in values])
