@@ -10,7 +10,8 @@ a condition of the join, and only then is the whole distance taken.
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Callable, Iterator
+from itertools import combinations, groupby
 
 import numpy as np
 import xxhash
@@ -151,8 +152,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 # at a distance that such texts keep to, and the shingles themselves decide.
 
 BANDS, ROWS, WIDE_BITS, RING = 16, 4, 20, 8
-#: Candidates of one bucket are compared pair by pair up to this number, beyond it each with two of them.
+#: Buckets of more texts than this are compared in one task, which leaves out pairs that are connected already.
 SMALL_BUCKET = 64
+#: Such a task holds two blocks of a bucket, each of so many shingles or of one text.
+BLOCK_SHINGLES = 2_000_000
 
 _ORDERS = np.random.default_rng(2).integers(1, 1 << 63, BANDS * ROWS, np.uint64) | np.uint64(1)
 
@@ -181,34 +184,108 @@ def _ring(a: str, b: str, bits: int) -> Column:
     return out
 
 
-def similar_links(docs: DataFrame, sketches: DataFrame, scratch: Scratch, similarity: float, shingle: int, seed: int = 42) -> DataFrame:
-    """Edges ``(a, b)`` between fingerprints of texts that agree to ``similarity`` in their different shingles.
+def bucket_links(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
+    """Places of pairs that agree to ``similarity``, such that all that do are connected.
 
-    ``docs(id, text)``, ``sketches(id, fp, bands)``. One text stands for all of
-    one fingerprint. In buckets of more than SMALL_BUCKET texts each is compared
-    with the first and the last, so that rows stay linear in the texts.
+    Sets are of different members, none empty. One after the other is compared
+    with all it is not connected to, until those not compared are connected to
+    each other. Of any two that are not connected one was then compared with
+    the other.
     """
-    first = sketches.groupBy("fp").agg(F.min("id").alias("id"))
-    rows = sketches.join(first, ["fp", "id"], "left_semi").select("id", "fp", F.explode(F.array_distinct("bands")).alias("key"))
-    shared = scratch.keep(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last")).where("n > 1"))
+    size = np.array([len(x) for x in sets])
+    ends = np.cumsum(size)
+    starts = ends - size
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    group, waiting, own = np.arange(len(sets)), np.ones(len(sets), bool), np.zeros(flat.max() + 1, np.int32)
+    while True:
+        largest = np.bincount(group).argmax()
+        rest = np.flatnonzero(waiting & (group != largest))
+        if not len(rest):
+            return
+        x = int(rest[0])
+        waiting[x] = False
+        own[flat[starts[x] : ends[x]]] = 1
+        both = np.add.reduceat(own[flat], starts)
+        own[flat[starts[x] : ends[x]]] = 0
+        near = np.flatnonzero((group != group[x]) & (both >= similarity * (size + size[x] - both)))
+        joined, at = np.unique(group[near], return_index=True)
+        yield from ((x, int(y)) for y in near[at])
+        group[np.isin(group, joined)] = group[x]
+
+
+def _members(shingle: int, seed: int) -> Callable[[str | None], np.ndarray]:
+    return lambda text: (np.unique(digests(text, shingle, seed)) >> np.uint64(1)).astype(np.int64)
+
+
+def _large_buckets(texts: DataFrame, rows: DataFrame, scratch: Scratch, similarity: float, shingle: int, seed: int) -> DataFrame:
+    """Edges ``(a, b)`` that connect what agrees to ``similarity`` within buckets ``rows(key, node, volume)``.
+
+    A bucket is dealt into blocks by its shingles, and any two blocks meet in a
+    task, so that every pair of the bucket does.
+    """
+    members = _members(shingle, seed)
+
+    def pack(rows):
+        for node, text in rows:
+            yield node, members(text).tobytes()
+
+    packed = scratch.keep(map_rows(texts.join(rows.select("node").distinct(), "node", "left_semi"), ["node", "text"], "node long, members binary", pack))
+    dealt = rows.withColumn("blocks", F.ceil(F.col("volume") / BLOCK_SHINGLES).cast("int")).withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("blocks = 1 or other <> block")
+    met = met.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node")
+    met = met.join(packed, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def compare(rows):
+        for _, own in groupby(rows, key=lambda r: r[:3]):
+            nodes, sets = [], []
+            for *_, node, m in own:
+                nodes.append(node)
+                sets.append(np.frombuffer(m, np.int64))
+            for x, y in bucket_links(sets, similarity):
+                yield nodes[x], nodes[y]
+
+    return map_rows(met, ["key", "i", "j", "node", "members"], "a long, b long", compare).distinct()
+
+
+def similar_links(docs: DataFrame, kinds: DataFrame, scratch: Scratch, similarity: float, shingle: int, seed: int = 42) -> DataFrame:
+    """Edges ``(a, b)`` between nodes whose texts agree to ``similarity`` in their different shingles.
+
+    ``docs(id, text)``, ``kinds(node, id, fp, size, bands)`` with one row for
+    each set of shingles. All of one bucket that agree are connected; in
+    buckets of more than SMALL_BUCKET sets not every such pair is an edge.
+    """
+    rows = kinds.select("node", "size", F.explode(F.array_distinct("bands")).alias("key"))
+    shared = scratch.keep(rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("volume")).where("n > 1"))
     rows = scratch.keep(rows.join(shared, "key"))
     few, many = rows.where(F.col("n") <= SMALL_BUCKET), rows.where(F.col("n") > SMALL_BUCKET)
-    pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b")
-    for hub in ("first", "last"):
-        pairs = pairs.unionByName(many.where(F.col("id") != F.col(hub)).select(F.least("id", hub).alias("a"), F.greatest("id", hub).alias("b")))
-    prints = rows.select("id", "fp").distinct()
+    side = lambda x: few.select("key", F.col("node").alias(x), F.col("size").alias(f"n{x}"))
+    pairs = side("a").join(side("b"), "key").where(F.col("a") < F.col("b")).where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b")
+    prints = kinds.select("node", "fp")
     pairs = pairs.distinct().join(prints.toDF("a", "fa"), "a").join(prints.toDF("b", "fb"), "b")
-    pairs = scratch.keep(pairs.where(_ring("fa", "fb", WIDE_BITS) & (F.bit_count(F.expr("fa ^ fb")) <= WIDE_BITS)))
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    pairs = scratch.keep(pairs.where(_ring("fa", "fb", WIDE_BITS) & (F.bit_count(F.expr("fa ^ fb")) <= WIDE_BITS)).select("a", "b"))
+    texts = docs.join(kinds.select("id", "node"), "id")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    members = _members(shingle, seed)
 
     def sets(rows):
-        for i, text in rows:
-            yield i, (np.unique(digests(text, shingle, seed)) >> np.uint64(1)).astype(np.int64).tolist()
+        for node, text in rows:
+            yield node, members(text).tolist()
 
-    members = scratch.keep(map_rows(docs.join(wanted, "id", "left_semi"), ["id", "text"], "id long, members array<long>", sets))
-    both = pairs.join(members.toDF("a", "ma"), "a").join(members.toDF("b", "mb"), "b")
+    known = scratch.keep(map_rows(texts.join(wanted, "node", "left_semi"), ["node", "text"], "node long, members array<long>", sets))
+    both = pairs.join(known.toDF("a", "ma"), "a").join(known.toDF("b", "mb"), "b")
     in_both = F.size(F.array_intersect("ma", "mb"))
-    return both.where(in_both >= similarity * (F.size("ma") + F.size("mb") - in_both)).select(F.col("fa").alias("a"), F.col("fb").alias("b"))
+    edges = both.where(in_both >= similarity * (F.size("ma") + F.size("mb") - in_both)).select("a", "b")
+    if many.isEmpty():
+        return edges
+    return edges.unionByName(_large_buckets(texts, many, scratch, similarity, shingle, seed))
+
+
+def _close(kinds: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes by three bits: one node of each fingerprint with those of the fingerprints near it, and with the others of its own."""
+    first = scratch.keep(kinds.groupBy("fp").agg(F.min("node").alias("node")))
+    near = links(first.select("fp"), scratch).toDF("fa", "fb").join(first.toDF("fa", "a"), "fa").join(first.toDF("fb", "b"), "fb").select("a", "b")
+    same = kinds.select("fp", F.col("node").alias("b")).join(first.withColumnRenamed("node", "a"), "fp").where("a <> b").select("a", "b")
+    return near.unionByName(same)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
@@ -225,11 +302,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     def sketch(rows):
         for i, text in rows:
             h = digests(text, shingle, seed)
-            yield i, fingerprint_of(h), band_keys(np.unique(h)).tolist() if len(h) else []
-
-    own = scratch.keep(map_rows(d, ["id", "text"], "id long, fp long, bands array<long>", sketch))
-    fps = scratch.keep(own.select("fp").distinct())
-    edges = links(fps, scratch).unionByName(similar_links(d, own, scratch, similarity, shingle, seed))
-    found = _components(own.select("id", "fp"), edges, scratch)
+            own = np.unique(h)
+            node = int(np.array(xxhash.xxh64_intdigest(own.tobytes(), seed), np.uint64).view(np.int64))
+            yield i, node, fingerprint_of(h), len(own), band_keys(own).tolist() if len(h) else []
+
+    own = scratch.keep(map_rows(d, ["id", "text"], "id long, node long, fp long, size long, bands array<long>", sketch))
+    # texts of the same different shingles are one node
+    kinds = scratch.keep(own.join(own.groupBy("node").agg(F.min("id").alias("id")), ["node", "id"], "left_semi"))
+    edges = _close(kinds, scratch).unionByName(similar_links(d, kinds, scratch, similarity, shingle, seed))
+    found = _components(own.select("id", F.col("node").alias("fp")), edges, scratch)
     kept = found.where("id = component_id").select(F.col("id").alias("__row"))
     return rows.join(kept, "__row", "left_semi").select(*columns)

@@ -203,6 +203,29 @@ def test_one_of_each_group(spark, small):
         assert got == want if bucket == 64 else len(got ^ want) <= 3
 
 
+def edited_copies(rng, n, words=300):
+    """``n`` texts of one base, each with 0.3 to 2.5 % of its words changed."""
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for at in rng.sample(range(words), rng.randint(words * 3 // 1000 or 1, words * 25 // 1000)):
+            own[at] = f"new{rng.randrange(10**6)}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_large_buckets_like_brute_force(spark, monkeypatch):
+    """Groups of edited copies hold together by pairs that no chosen text is part of."""
+    import random
+
+    texts = edited_copies(random.Random(7), 400)
+    want = brute_kept_ids(list(enumerate(texts)))
+    for shingles in (simhash.BLOCK_SHINGLES, 30_000):  # the second deals a bucket into several blocks
+        monkeypatch.setattr(simhash, "BLOCK_SHINGLES", shingles)
+        assert {r.doc_id for r in simhash.keep_one(docs_of(spark, texts)).collect()} == want
+
+
 def test_ring_lets_all_close_pairs_pass(spark):
     import random
 
