@@ -148,10 +148,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 #
 # Two texts whose five-word shingles agree to 0.8 differ in some ten bits of 64,
 # too many for segments that a join could use. Candidates are therefore texts
-# that share the least shingles under four of 64 orders; the ring prunes them
-# at a distance that such texts keep to, and the shingles themselves decide.
+# that share the least shingles under four of 64 orders, and the shingles
+# themselves decide. Fingerprints prune none: no number of bits is sure to hold
+# all such texts, least of all with repeated lines.
 
-BANDS, ROWS, WIDE_BITS, RING = 16, 4, 20, 8
+BANDS, ROWS, RING = 16, 4, 8
 #: Buckets of more texts than this are compared in one task, which leaves out pairs that are connected already.
 SMALL_BUCKET = 64
 #: Such a task holds two blocks of a bucket, each of so many shingles or of one text.
@@ -260,9 +261,7 @@ def similar_links(docs: DataFrame, kinds: DataFrame, scratch: Scratch, similarit
     few, many = rows.where(F.col("n") <= SMALL_BUCKET), rows.where(F.col("n") > SMALL_BUCKET)
     side = lambda x: few.select("key", F.col("node").alias(x), F.col("size").alias(f"n{x}"))
     pairs = side("a").join(side("b"), "key").where(F.col("a") < F.col("b")).where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b")
-    prints = kinds.select("node", "fp")
-    pairs = pairs.distinct().join(prints.toDF("a", "fa"), "a").join(prints.toDF("b", "fb"), "b")
-    pairs = scratch.keep(pairs.where(_ring("fa", "fb", WIDE_BITS) & (F.bit_count(F.expr("fa ^ fb")) <= WIDE_BITS)).select("a", "b"))
+    pairs = scratch.keep(pairs.distinct())
     texts = docs.join(kinds.select("id", "node"), "id")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     members = _members(shingle, seed)

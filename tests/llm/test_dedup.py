@@ -226,6 +226,18 @@ def test_large_buckets_like_brute_force(spark, monkeypatch):
         assert {r.doc_id for r in simhash.keep_one(docs_of(spark, texts)).collect()} == want
 
 
+def test_repeated_lines_do_not_hide_copies(spark):
+    import random
+
+    rng, texts = random.Random(21), []
+    for _ in range(60):  # a pair has the same words but two, and the line 50 times or twice
+        w, line = ([f"v{rng.randrange(10**6)}" for _ in range(n)] for n in (300, 30))
+        texts += [" ".join(w + line * 50), " ".join(w + ["another", "end"] + line * 2)]
+    want = brute_kept_ids(list(enumerate(texts)))
+    assert want == set(range(0, 120, 2))
+    assert {r.doc_id for r in simhash.keep_one(docs_of(spark, texts)).collect()} == want
+
+
 def test_ring_lets_all_close_pairs_pass(spark):
     import random
 
