@@ -252,7 +252,8 @@ def similar_links(docs: DataFrame, kinds: DataFrame, scratch: Scratch, similarit
     """Edges ``(a, b)`` between nodes whose texts agree to ``similarity`` in their different shingles.
 
     ``docs(id, text)``, ``kinds(node, id, fp, size, bands)`` with one row for
-    each set of shingles. All of one bucket that agree are connected; in
+    each set of shingles. Pairs at three bits are compared like those of one
+    bucket. All of one bucket that agree are connected; in
     buckets of more than SMALL_BUCKET sets not every such pair is an edge.
     """
     rows = kinds.select("node", "size", F.explode(F.array_distinct("bands")).alias("key"))
@@ -261,8 +262,8 @@ def similar_links(docs: DataFrame, kinds: DataFrame, scratch: Scratch, similarit
     few, many = rows.where(F.col("n") <= SMALL_BUCKET), rows.where(F.col("n") > SMALL_BUCKET)
     side = lambda x: few.select("key", F.col("node").alias(x), F.col("size").alias(f"n{x}"))
     pairs = side("a").join(side("b"), "key").where(F.col("a") < F.col("b")).where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b")
-    pairs = scratch.keep(pairs.distinct())
-    texts = docs.join(kinds.select("id", "node"), "id")
+    pairs = scratch.keep(pairs.unionByName(_close(kinds, scratch)).distinct())
+    texts = docs.join(kinds.where("size > 0").select("id", "node"), "id")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     members = _members(shingle, seed)
 
@@ -281,8 +282,9 @@ def similar_links(docs: DataFrame, kinds: DataFrame, scratch: Scratch, similarit
 
 def _close(kinds: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs ``(a, b)`` of nodes by three bits: one node of each fingerprint with those of the fingerprints near it, and with the others of its own."""
+    kinds = kinds.where("size > 0")
     first = scratch.keep(kinds.groupBy("fp").agg(F.min("node").alias("node")))
-    near = links(first.select("fp"), scratch).toDF("fa", "fb").join(first.toDF("fa", "a"), "fa").join(first.toDF("fb", "b"), "fb").select("a", "b")
+    near = links(first.select("fp"), scratch).toDF("fa", "fb").join(first.toDF("fa", "a"), "fa").join(first.toDF("fb", "b"), "fb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     same = kinds.select("fp", F.col("node").alias("b")).join(first.withColumnRenamed("node", "a"), "fp").where("a <> b").select("a", "b")
     return near.unionByName(same)
 
@@ -290,9 +292,9 @@ def _close(kinds: DataFrame, scratch: Scratch) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
     """The row of the least id of each group, all columns unchanged; of rows without an id, or with the same, the first.
 
-    Texts are of one group if they link at three bits, or agree to ``similarity``
-    in their shingles as ``similar_links`` finds. Texts without words are one
-    group. An empty table gives an empty result.
+    Texts are of one group if they agree to ``similarity`` in their different
+    shingles, as ``similar_links`` finds, or by way of others that do. Texts
+    without words are one group. An empty table gives an empty result.
     """
     scratch, columns = Scratch(docs.sparkSession, "simhash-kept"), docs.columns
     rows = with_rows(docs, id_col, "__row", scratch)
@@ -308,7 +310,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     own = scratch.keep(map_rows(d, ["id", "text"], "id long, node long, fp long, size long, bands array<long>", sketch))
     # texts of the same different shingles are one node
     kinds = scratch.keep(own.join(own.groupBy("node").agg(F.min("id").alias("id")), ["node", "id"], "left_semi"))
-    edges = _close(kinds, scratch).unionByName(similar_links(d, kinds, scratch, similarity, shingle, seed))
+    edges = similar_links(d, kinds, scratch, similarity, shingle, seed)
     found = _components(own.select("id", F.col("node").alias("fp")), edges, scratch)
     kept = found.where("id = component_id").select(F.col("id").alias("__row"))
     return rows.join(kept, "__row", "left_semi").select(*columns)

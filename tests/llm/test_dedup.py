@@ -238,6 +238,16 @@ def test_repeated_lines_do_not_hide_copies(spark):
     assert {r.doc_id for r in simhash.keep_one(docs_of(spark, texts)).collect()} == want
 
 
+def test_a_shared_line_makes_no_copies(spark):
+    import random
+
+    rng, texts = random.Random(22), []
+    for _ in range(60):
+        line = [f"l{rng.randrange(10**6)}" for _ in range(30)] * 50
+        texts += [" ".join([f"v{rng.randrange(10**6)}" for _ in range(300)] + line) for _ in range(2)]
+    assert simhash.keep_one(docs_of(spark, [*texts, "", None])).count() == 121
+
+
 def test_ring_lets_all_close_pairs_pass(spark):
     import random
 
