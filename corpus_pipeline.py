@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from stillframe.llm import decontaminate, language_id, sentencepiece_viterbi, simhash, substring
 from stillframe.llm.common import Scratch, table
 
-#: Texts less like every known language than this are rejected, as are texts without letters. Short texts score low, so it is near what chance gives.
-MIN_LANGUAGE_SCORE = 0.05
+#: Long texts less like every known language than this are rejected, as are texts without letters; short ones need less (``language_id.reject``).
+MIN_LANGUAGE_SCORE = 0.2
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from .common import map_rows
 
 DIMENSIONS, SYMBOLS, SEED = 1024, 64, 9
+#: Different trigrams at which half of a bound is asked, and the least part of it that is.
+HALF_TRIGRAMS, LEAST_PART = 60, 0.25
 UNDETERMINED = "und"
 
 
@@ -121,7 +123,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
 
 
 def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` columns with lang_pred and score (cosine, from 0 to 1) of every row.
+    """``keep`` columns with lang_pred, score (cosine, from 0 to 1) and n_trigrams (different ones) of every row.
 
     A null text, one without a letter, and any text when nothing was learned
     gives "und" and 0. Ties go to the first language in order.
@@ -133,18 +135,18 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, keep: lis
         for *kept, text in rows:
             grams, counts = e.trigrams(text or "")
             if not len(grams) or not langs:
-                yield *kept, UNDETERMINED, 0.0
+                yield *kept, UNDETERMINED, 0.0, 0
                 continue
             v = e.bundle(grams, counts)
             cos = protos @ v
             best = int(cos.argmax())
-            yield *kept, langs[best], float(min(1.0, max(0.0, cos[best] / max(float(np.linalg.norm(v)), 1e-12))))
+            yield *kept, langs[best], float(min(1.0, max(0.0, cos[best] / max(float(np.linalg.norm(v)), 1e-12)))), len(grams)
 
     # by position, so that names in the input cannot clash with those given here
     names = [f"k{i}" for i in range(len(keep))]
     d = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text_col).cast("string").alias("t"))
     schema = ", ".join(f"{n} {d.schema[n].dataType.simpleString()}" for n in names)
-    return map_rows(d, [*names, "t"], f"{schema}, lang_pred string, score double", judge).toDF(*keep, "lang_pred", "score")
+    return map_rows(d, [*names, "t"], f"{schema}, lang_pred string, score double, n_trigrams long", judge).toDF(*keep, "lang_pred", "score", "n_trigrams")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -155,12 +157,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).withColumn("held_out", held_out("id"))
     langs, protos = learn(d.where("id is not null and not held_out"))
-    return predict(d, langs, protos, ["id", "held_out"])
+    return predict(d, langs, protos, ["id", "held_out"]).drop("n_trigrams")
 
 
 def reject(docs: DataFrame, min_score: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with at least ``min_score``, all columns unchanged.
+    """The rows of ``docs`` whose language is recognised, all columns unchanged.
 
+    A long text needs a score of ``min_score``. Of n different trigrams the part
+    n / (n + HALF_TRIGRAMS) of it is asked, as short texts score low by nature,
+    but LEAST_PART of it at least.
     Where no row has a language to learn from, every text with a letter stays.
     """
     learned = docs.withColumn("__held_out", held_out(id_col)).where(F.col(id_col).isNotNull() & ~F.col("__held_out"))
@@ -169,4 +174,5 @@ def reject(docs: DataFrame, min_score: float, id_col: str = "doc_id", text_col:
     if not langs:
         return docs.where(F.rlike(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(r"\p{L}")))
     found = predict(docs, langs, protos, [*columns], text_col)
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*[found[c] for c in columns])
+    bound = min_score * F.greatest(F.lit(LEAST_PART), F.col("n_trigrams") / (F.col("n_trigrams") + HALF_TRIGRAMS))
+    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= bound)).select(*[found[c] for c in columns])

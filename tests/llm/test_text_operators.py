@@ -224,3 +224,19 @@ def test_languages_of_odd_rows(spark):
     nothing = language_id.identify(docs_of(spark, [(1, "abc", None)])).collect()
     assert [(r.lang_pred, r.score) for r in nothing] == [("und", 0.0)]
     assert language_id.identify(docs_of(spark, [])).count() == 0
+
+
+def test_texts_of_no_known_language_are_rejected(spark, small):
+    import base64
+
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    polish = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa każdy człowiek posiada wszystkie prawa i wolności zawarte w niniejszej deklaracji bez względu na różnice rasy koloru płci języka"
+    odd = [" ".join(word() for _ in range(500)) for _ in range(5)] + [base64.b64encode(rng.randbytes(3000)).decode() for _ in range(5)] + [rng.randbytes(3000).hex() for _ in range(5)] + [polish]
+    rows = docs_of(spark, [(-1 - k, t, None) for k, t in enumerate(odd)]).selectExpr(*[f"cast({c} as {t}) as {c}" for c, t in docs.dtypes])
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, docs.unionByName(rows), small).select("doc_id").collect()}
+    own = {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").select("doc_id").collect()}
+    assert min(kept) >= 0 and len(own - kept) <= len(own) // 500
