@@ -58,7 +58,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: (host, path, verdict) of the production rules, and hosts and paths listed for blocking where no rule fits.
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-URL_LISTED = ("adult-x.example.com", "ads-track.example.com", "spam-farm.example.org", "cheap-pills.example.net", "casino-win.example.net", "free-bets.example.net")
+URL_LISTED = tuple(f"{site}.example.{top}" for site in ("adult-x", "ads-track", "spam-farm", "cheap-pills", "casino-win", "free-bets") for top in ("com", "org", "net"))
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,6 +75,11 @@ def test_url_query(spark, small):
     like_duckdb(spark, small, "op7_url_filter")
 
 
+def test_listed_sites_are_blocked_under_every_domain(spark, small):
+    rows = queries.op7_url_filter(spark, small).where("rule is null and host rlike '(adult-x|ads-track|spam-farm|cheap-pills|casino-win|free-bets)' and path like '/%'").collect()
+    assert rows and {r.verdict for r in rows} == {"block"}
+
+
 def test_urls_like_brute_force(spark):
     rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("a.b.example.org", "", "allow"), ("example.org", "/x", "block"), ("example.org", "/x", "allow")]
     listed = [("bad.com", "/"), ("com", "/only/")]
