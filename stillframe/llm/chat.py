@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from hashlib import sha256
 from itertools import groupby
 
@@ -18,14 +19,20 @@ from pyspark.sql import functions as F
 from .common import map_rows
 
 Template = Callable[[list[tuple[str, str]]], str]
-#: Longer conversations are first tried in windows and then proved by one whole rendering.
-WINDOWED_TURNS = 64
 
 
-def escape(text: str) -> str:
+def _escaped(text: str) -> str:
     return re.sub(r"[\\#<:]", r"\\\g<0>", text)
 
 
+#: Successive prefixes render the same texts again; these many short ones are remembered.
+_remembered = lru_cache(1 << 16)(_escaped)
+
+
+def escape(text: str) -> str:
+    return _remembered(text) if len(text) <= 1024 else _escaped(text)
+
+
 def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
 
@@ -46,40 +53,20 @@ def read_turn(span: str) -> tuple[str, str]:
     return unescape(m[1]), unescape(m[2])
 
 
-def _prefixes(turns: list[tuple[str, str]], render: Template) -> list[int] | None:
+def locate(turns: list[tuple[str, str]], render: Template) -> tuple[str, list[int] | None]:
+    """The rendered conversation and where each turn ends in it, or None if the template rewrites history.
+
+    Every prefix is rendered, whatever the number of turns, and must begin with
+    the one before.
+    """
     ends, last = [], ""
     for i in range(1, len(turns) + 1):
         out = render(turns[:i])
         if not out.startswith(last):
-            return None
+            return render(turns), None
         ends.append(len(out))
         last = out
-    return ends
-
-
-def locate(turns: list[tuple[str, str]], render: Template) -> tuple[str, list[int] | None]:
-    """The rendered conversation and where each turn ends in it, or None if the template rewrites history.
-
-    A long conversation is tried in windows: what a turn adds after the first
-    turn and the two before it. If these pieces together are the whole
-    rendering, its spans are theirs; if not, all prefixes are rendered.
-    """
-    whole = render(turns)
-    if len(turns) > WINDOWED_TURNS:
-        ends, at = _prefixes(turns[:4], render), 0
-        if ends is not None:
-            at = ends[-1]
-            same = whole.startswith(render(turns[:4]))
-            for i in range(4, len(turns)):
-                context = [turns[0], turns[i - 2], turns[i - 1]]
-                a, b = render(context), render([*context, turns[i]])
-                if not same or not b.startswith(a) or not whole.startswith(b[len(a) :], at):
-                    break
-                at += len(b) - len(a)
-                ends.append(at)
-            if len(ends) == len(turns) and at == len(whole):
-                return whole, ends
-    return whole, _prefixes(turns, render)
+    return last, ends
 
 
 def format_conversations(conversations: DataFrame, render: Template = turn_template, read: Callable[[str], tuple[str, str]] = read_turn, loss_roles: tuple[str, ...] = ("assistant",), conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
