@@ -5,7 +5,9 @@ as single spaces. An item of L characters that occurs with at most e edits
 shares at least L - q + 1 - q * e q-grams with the document, on diagonals that
 differ by at most e. Diagonals are dealt into blocks of e + 1; any such run of
 diagonals lies in two neighbouring blocks. Bands of two blocks with enough
-shared q-grams are candidates, and a banded alignment decides.
+shared q-grams are candidates, and a banded alignment decides. Items too short
+for a q-gram of 12 at their number of edits have shorter ones, down to the item
+itself, so that each is found with all the edits that the rate allows it.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ Q, EDIT_RATE = 12, 0.05
 #: Items are indexed and sent to the executors in blocks of about so many characters.
 BLOCK_CHARS = 1_000_000
 
-_B, _B2, _B4 = (np.uint64(pow(0x100000001B3, k, 1 << 64)) for k in (1, 2, 4))
+_B = 0x100000001B3
 _K = np.uint64(0x9E3779B97F4A7C15)
 #: Hits that are expanded to item positions at a time.
 _SLICE = 50_000
@@ -38,19 +40,30 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _grams(points: np.ndarray) -> np.ndarray:
-    """Hashes of all runs of Q = 12 characters."""
-    h = points.astype(np.uint64)
-    h2 = h[:-1] * _B + h[1:]
-    h4 = h2[:-2] * _B2 + h2[2:]
-    h8 = h4[:-4] * _B4 + h4[4:]
-    return (h8[: len(h) - Q + 1] * _B4 + h4[8 : 8 + len(h) - Q + 1]) * _K
+def _grams(points: np.ndarray, q: int = Q) -> np.ndarray:
+    """Hashes of all runs of ``q`` characters, put together from runs of powers of two."""
+    n = len(points) - q + 1
+    run, size, out, have = points.astype(np.uint64), 1, np.zeros(n, np.uint64), 0
+    while True:
+        if q & size:
+            out = out * np.uint64(pow(_B, size, 1 << 64)) + run[have : have + n]
+            have += size
+        if have == q:
+            return out * _K
+        run = run[:-size] * np.uint64(pow(_B, size, 1 << 64)) + run[size:]
+        size *= 2
+
+
+def q_of(length: int, edits: int) -> int:
+    """The q-grams of an item: Q, or the longest of which ``edits`` must leave one whole."""
+    return min(Q, length // (edits + 1))
 
 
 @dataclass
 class Index:
-    """A block of items with a bitmap over their q-grams' hashes and the places of each q-gram."""
+    """Items of one q with a bitmap over their q-grams' hashes and the places of each q-gram."""
 
+    q: int
     ids: list
     texts: list[str]
     edits: np.ndarray
@@ -63,22 +76,28 @@ class Index:
     place: np.ndarray
 
 
-def build(items: list[tuple], edit_rate: float = EDIT_RATE) -> Index:
-    """Index ``(id, text)`` items; those under Q characters cannot be told from chance and are left out."""
-    kept = sorted({(i, t) for i, t in ((i, normalise(t)) for i, t in items) if len(t) >= Q}, key=lambda x: (x[1], str(x[0])))
+def build(items: list[tuple], edit_rate: float = EDIT_RATE) -> list[Index]:
+    """Indexes of ``(id, text)`` items, one for each q; items without a character are left out."""
+    by: dict[int, set] = {}
+    for i, t in ((i, normalise(t)) for i, t in items):
+        if t:
+            by.setdefault(q_of(len(t), int(len(t) * edit_rate)), set()).add((i, t))
+    return [_build(q, sorted(own, key=lambda x: (x[1], str(x[0]))), edit_rate) for q, own in sorted(by.items())]
+
+
+def _build(q: int, kept: list[tuple], edit_rate: float) -> Index:
     lengths = np.array([len(t) for _, t in kept], np.int64)
-    # no more edits than leave one q-gram whole
-    edits = np.minimum((lengths * edit_rate).astype(np.int64), (lengths - Q) // Q)
-    hashes = [_grams(_points(t)) for _, t in kept]
-    every = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-    item = np.repeat(np.arange(len(kept)), [len(h) for h in hashes]) if hashes else np.empty(0, np.int64)
-    place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.empty(0, np.int64)
+    edits = (lengths * edit_rate).astype(np.int64)
+    hashes = [_grams(_points(t), q) for _, t in kept]
+    every = np.concatenate(hashes)
+    item = np.repeat(np.arange(len(kept)), [len(h) for h in hashes])
+    place = np.concatenate([np.arange(len(h)) for h in hashes])
     order = np.argsort(every, kind="stable")
     grams, first = np.unique(every[order], return_index=True)
     bits = max(10, math.ceil(math.log2(max(1, len(grams)) * 64)))
     bitmap = np.zeros(1 << bits, bool)
     bitmap[grams >> np.uint64(64 - bits)] = True
-    return Index([i for i, _ in kept], [t for _, t in kept], edits, lengths - Q + 1 - Q * edits, np.uint64(64 - bits), bitmap, grams, np.append(first, len(every)), item[order], place[order])
+    return Index(q, [i for i, _ in kept], [t for _, t in kept], edits, lengths - q + 1 - q * edits, np.uint64(64 - bits), bitmap, grams, np.append(first, len(every)), item[order], place[order])
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, width: int) -> tuple[int, int, int]:
@@ -102,12 +121,27 @@ def align(item: np.ndarray, text: np.ndarray, low: int, width: int) -> tuple[int
     return edits, low + begun, low + len(item) + best
 
 
-def matches(text: str, index: Index) -> list[tuple[int, int, int, int]]:
-    """``(item, begin, end, edits)`` of every occurrence of an item in a normalised text; of overlapping ones of one item the best."""
-    if len(text) < Q or not len(index.grams):
-        return []
+def found_in(text: str, indexes: list[Index]) -> Iterator[tuple]:
+    """``(item id, begin, end, edits)`` of every occurrence of an item of any index in a normalised text."""
     points = _points(text)
-    h = _grams(points)
+    for index in indexes:
+        for i, a, b, edits in matches(text, points, index):
+            yield index.ids[i], a, b, edits
+
+
+def _stands_alone(text: str, a: int, b: int) -> bool:
+    return not (a and text[a].isalnum() and text[a - 1].isalnum()) and not (b < len(text) and text[b - 1].isalnum() and text[b].isalnum())
+
+
+def matches(text: str, points: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
+    """``(item, begin, end, edits)`` of every occurrence of an item in a normalised text; of overlapping ones of one item the best.
+
+    Items under Q characters must be whole words of the text, as their letters
+    alone stand in many others.
+    """
+    if len(text) < index.q:
+        return []
+    h = _grams(points, index.q)
     hit = np.flatnonzero(index.bitmap[h >> index.shift])
     if not len(hit):
         return []
@@ -145,6 +179,12 @@ def matches(text: str, index: Index) -> list[tuple[int, int, int, int]]:
         e = int(index.edits[i])
         low, width, want = block * (e + 1) - longest - e, 2 * (e + 1) + 2 * e, index.texts[i]
         begin = text.find(want, max(0, low), max(0, low + width + len(want)))
+        if len(want) < Q:  # without edits the band is that of one diagonal and its neighbour
+            while 0 <= begin and not _stands_alone(text, begin, begin + len(want)):
+                begin = text.find(want, begin + 1, max(0, low + width + len(want)))
+            if begin >= 0:
+                found.append((0, i, begin, begin + len(want)))
+            continue
         if begin >= 0:
             found.append((0, i, begin, begin + len(want)))
             continue
@@ -158,7 +198,7 @@ def matches(text: str, index: Index) -> list[tuple[int, int, int, int]]:
     return sorted(kept)
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, edit_rate: float) -> Iterator[Index]:
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, edit_rate: float) -> Iterator[list[Index]]:
     """Indexes over all items, each of about BLOCK_CHARS characters, whatever their number."""
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -171,9 +211,11 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, edit_rate: flo
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", edit_rate: float = EDIT_RATE) -> DataFrame:
     """``(doc, item, begin_char, end_char, edits)`` for every benchmark item in every document.
 
-    Places are in the normalised text. Null or empty texts and items under Q
-    characters match nothing; repeated rows are reported again; empty tables give
-    an empty result. Each block of items is one pass over the documents.
+    Places are in the normalised text. An item of L characters is found with up
+    to ``edit_rate`` * L edits, rounded down; items under Q characters only where
+    they are whole words. Null or empty texts and items match nothing; repeated
+    rows are reported again; empty tables give an empty result. Each block of
+    items is one pass over the documents.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kinds = d.schema["id"].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
@@ -183,8 +225,8 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
         def run(rows: Iterator[tuple], sent=sent) -> Iterator[tuple]:
             for doc, text in rows:
-                for i, a, b, edits in matches(normalise(text), sent.value):
-                    yield doc, sent.value.ids[i], a, b, edits
+                for item, a, b, edits in found_in(normalise(text), sent.value):
+                    yield doc, item, a, b, edits
 
         own = map_rows(d, ["id", "text"], f"doc_id {kinds[0]}, item_id {kinds[1]}, begin_char long, end_char long, edits long", run)
         out = own if out is None else out.unionByName(own)
@@ -203,7 +245,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
 
         def run(rows: Iterator[tuple], sent=sent) -> Iterator[tuple]:
             for row in rows:
-                if not matches(normalise(row[at]), sent.value):
+                if next(found_in(normalise(row[at]), sent.value), None) is None:
                     yield row
 
         d = map_rows(d, names, schema, run)
