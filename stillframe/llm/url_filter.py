@@ -1,4 +1,10 @@
-"""URL filtering with a blocked Bloom filter before an exact hash join. Native expressions only."""
+"""URL filtering with blocked Bloom filters before exact hash joins. Native expressions only.
+
+The suffixes of a URL's host are tested in a filter of the listed hosts, without
+a shuffle. Only URLs that pass meet the hosts themselves, which tell the lengths
+of their paths; the keys of these lengths are tested in a filter of all listed
+canonical prefixes, and what passes is joined with them.
+"""
 
 from __future__ import annotations
 
@@ -39,6 +45,16 @@ def bloom_blocks(entries: DataFrame, n: int) -> tuple[DataFrame, int]:
     return bits.groupBy("block").agg(*[F.bit_or(f"m{j}").alias(f"w{j}") for j in range(WORDS)]), blocks
 
 
+def _possible(rows: DataFrame, key: str, entries: DataFrame, n: int) -> DataFrame:
+    """The rows whose ``key`` may be among the ``n`` keys of ``entries(key)``: all that are, and few others."""
+    columns = rows.columns
+    blocks, count = bloom_blocks(entries, n)
+    d = rows.withColumns({"block": F.expr(f"pmod(xxhash64({key}), {count})"), **_probe(key)}).join(_sized(blocks, 48 * count), "block")
+    for j in range(WORDS):
+        d = d.where(F.col(f"w{j}").bitwiseAND(F.col(f"m{j}")) == F.col(f"m{j}"))
+    return d.select(*columns)
+
+
 def judge(pages: DataFrame, entries: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
     """The columns of ``pages`` with host, path, rule and verdict for each row.
 
@@ -46,28 +62,24 @@ def judge(pages: DataFrame, entries: DataFrame, url_col: str = "url", default: s
     fits its host and all subdomains if the URL's path starts with its path.
     Among rules the longest wins (then the longer host, then block); without a
     rule the longest other entry decides and rule is null; without either the
-    verdict is ``default``. For each URL the keys it could match (host suffixes
-    of the label counts and path prefixes of the lengths that entries have) are
-    tested in the Bloom filter, each in one block, and possible hits go to an
-    exact join on the key. A null URL, or one without ``://``, has an empty host
+    verdict is ``default``. A null URL, or one without ``://``, has an empty host
     and path and the default verdict. Repeated rows give repeated results;
     columns of ``pages`` named like a result are replaced.
     """
-    e = entries.where("host is not null and path is not null").select(F.concat("host", "path").alias("key"), "verdict", "is_rule", F.size(F.split("host", r"\.")).alias("labels"), F.length("path").alias("chars"), F.length("host").alias("host_chars")).distinct()
-    shape = e.agg(F.collect_set("labels").alias("labels"), F.collect_set("chars").alias("chars"), F.count("*").alias("n"), F.coalesce(F.sum(F.length("key") + 64), F.lit(0)).alias("bytes")).first()
+    e = entries.where("host is not null and path is not null").select("host", "path", "verdict", "is_rule").distinct()
+    shape = e.agg(F.collect_set(F.size(F.split("host", r"\."))).alias("labels"), F.count("*").alias("n"), F.coalesce(F.sum(F.length("host") + F.length("path") + 64), F.lit(0)).alias("bytes"), F.count_distinct("host").alias("hosts")).first()
     out = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
     if not shape["n"]:
         return out.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    keys = [F.when(F.length("path") >= c, F.concat(F.substring_index("host", ".", -n), F.substring("path", 1, c))) for n in sorted(shape["labels"]) for c in sorted(shape["chars"])]
-    urls = out.where("host <> ''").select("host", "path").distinct()
-    tried = urls.select("host", "path", F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("key"))
-    blocks, count = bloom_blocks(e, shape["n"])
-    tried = tried.withColumns({"block": F.expr(f"pmod(xxhash64(key), {count})"), **_probe("key")})
-    possible = tried.join(_sized(blocks, 48 * count), "block")
-    for j in range(WORDS):
-        possible = possible.where(F.col(f"w{j}").bitwiseAND(F.col(f"m{j}")) == F.col(f"m{j}"))
-    hits = possible.select("host", "path", "key").join(_sized(e, shape["bytes"]), "key")
-    rank = F.struct("is_rule", F.length("key").alias("chars"), "host_chars", (F.col("verdict") == "block").alias("block"), "key", "verdict")
+    suffixes = F.array_distinct(F.array(*[F.substring_index("host", ".", -n) for n in sorted(shape["labels"])]))
+    tried = out.where("host <> ''").select("host", "path", F.explode(suffixes).alias("site"))
+    tried = _possible(tried, "site", e.select(F.col("host").alias("key")).distinct(), shape["hosts"])
+    sites = e.groupBy(F.col("host").alias("site")).agg(F.collect_set(F.length("path")).alias("lengths"))
+    tried = tried.join(_sized(sites, shape["bytes"]), "site")
+    tried = tried.select("host", "path", "site", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("n")).select("host", "path", "site", F.expr("substring(path, 1, n)").alias("prefix"))
+    tried = _possible(tried.withColumn("key", F.concat("site", "prefix")), "key", e.select(F.concat("host", "path").alias("key")).distinct(), shape["n"])
+    hits = tried.join(_sized(e.select(F.col("host").alias("site"), F.col("path").alias("prefix"), "verdict", "is_rule"), shape["bytes"]), ["site", "prefix"])
+    rank = F.struct("is_rule", F.length("key").alias("chars"), F.length("site").alias("host_chars"), (F.col("verdict") == "block").alias("block"), "key", "verdict")
     best = hits.groupBy("host", "path").agg(F.max(rank).alias("best"))
     best = best.select("host", "path", F.when(F.col("best.is_rule"), F.col("best.key")).alias("rule"), F.col("best.verdict").alias("verdict"))
     return out.join(best, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
