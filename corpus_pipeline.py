@@ -27,12 +27,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages; documents of which nothing is left go."""
-    others = [c for c in docs.columns if c != "text"]
-    kept = substring.remove_repeats(docs, layout=True, keep=others)
-    kept = kept.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    changed = {"text": F.col("text_kept").alias("text"), "n_chars": n_chars.alias("n_chars")}
-    return kept.select(*[changed.get(c, F.col(c)) for c in docs.columns])
+    names = [f"c{i}" for i in range(len(docs.columns))]  # by position, so that no column can clash with the operator's own
+    at = dict(zip(docs.columns, names))
+    text, n_chars = at["text"], at.get("n_chars")
+    kept = substring.remove_repeats(docs.toDF(*names), at["doc_id"], text, layout=True, keep=[c for c in names if c != text])
+    kept = kept.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))).withColumn(text, F.col(f"{text}_kept"))
+    if n_chars:
+        kept = kept.withColumn(n_chars, F.when(F.col("n_removed") > 0, F.char_length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col(n_chars)))
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

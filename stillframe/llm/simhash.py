@@ -152,7 +152,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 # themselves decide. Fingerprints prune none: no number of bits is sure to hold
 # all such texts, least of all with repeated lines.
 
-BANDS, ROWS, RING = 16, 4, 8
+BANDS, ROWS = 16, 4
 #: Buckets of more texts than this are compared in one task, which leaves out pairs that are connected already.
 SMALL_BUCKET = 64
 #: Such a task holds two blocks of a bucket, each of so many shingles or of one text.
@@ -174,17 +174,6 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _ring(a: str, b: str, bits: int) -> Column:
-    """Whether some segment begins a chain whose first l segments differ by l * bits / RING at most, for every l."""
-    width = 64 // RING
-    d = [F.bit_count(F.expr(f"shiftrightunsigned({a} ^ {b}, {width * i}) & {(1 << width) - 1}")) for i in range(RING)]
-    chains = [[sum((d[(s + k) % RING] for k in range(n)), F.lit(0)) <= n * bits // RING for n in (1, 2, 3, RING)] for s in range(RING)]
-    out = F.lit(False)
-    for c in chains:
-        out = out | (c[0] & c[1] & c[2] & c[3])
-    return out
-
-
 def bucket_links(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
     """Places of pairs that agree to ``similarity``, such that all that do are connected.
 
@@ -297,8 +286,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     without words are one group. An empty table gives an empty result.
     """
     scratch, columns = Scratch(docs.sparkSession, "simhash-kept"), docs.columns
-    rows = with_rows(docs, id_col, "__row", scratch)
-    d = rows.select(F.col("__row").alias("id"), F.col(text_col).cast("string").alias("text"))
+    names = [f"c{i}" for i in range(len(columns))]  # by position, so that no column of the input can clash
+    rows = with_rows(docs.toDF(*names), names[columns.index(id_col)], "row", scratch)
+    d = rows.select(F.col("row").alias("id"), F.col(names[columns.index(text_col)]).cast("string").alias("text"))
 
     def sketch(rows):
         for i, text in rows:
@@ -312,5 +302,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     kinds = scratch.keep(own.join(own.groupBy("node").agg(F.min("id").alias("id")), ["node", "id"], "left_semi"))
     edges = similar_links(d, kinds, scratch, similarity, shingle, seed)
     found = _components(own.select("id", F.col("node").alias("fp")), edges, scratch)
-    kept = found.where("id = component_id").select(F.col("id").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(*columns)
+    kept = found.where("id = component_id").select(F.col("id").alias("row"))
+    return rows.join(kept, "row", "left_semi").select(*names).toDF(*columns)

@@ -84,7 +84,7 @@ def test_leaks_like_brute_force():
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
     text = lambda n: " ".join(word() for _ in range(n))
     items = [(i, text(rng.randint(12, 30))) for i in range(8)]
-    index = decontaminate.build(items)
+    (index,) = decontaminate.build(items)
     place = {i: k for k, i in enumerate(index.ids)}
     for trial in range(60):
         i, own = items[trial % 8]
@@ -99,7 +99,7 @@ def test_leaks_like_brute_force():
             else:
                 changed.insert(at, rng.choice("xyz"))
         doc = decontaminate.normalise(text(15) + " " + "".join(changed) + " " + text(15))
-        got = {m[0]: m for m in decontaminate.matches(doc, index)}
+        got = {m[0]: m for m in decontaminate.matches(doc, decontaminate._points(doc), index)}
         for k, want in enumerate(index.texts):
             d = brute_distance(want, doc)
             assert (k in got) == (d <= index.edits[k]), (trial, k, d)
@@ -108,6 +108,32 @@ def test_leaks_like_brute_force():
         assert place[i] is not None
 
 
+@pytest.mark.parametrize("length", [12, 17, 19, 20, 21, 23, 24, 39, 40, 41, 60])
+def test_short_items_have_all_their_edits(length):
+    """Every item is found with length // 20 edits, wherever these are, and with no more."""
+    rng = random.Random(length)
+    item = "".join(rng.choice("abcdef ") for _ in range(length - 2)).replace("  ", "ab").join("xy")
+    want = decontaminate.normalise(item)
+    most, indexes = int(len(want) * 0.05), decontaminate.build([(1, item)])
+    for _ in range(40):
+        for edits in (most, most + 1):
+            own = list(want)
+            for at in rng.sample(range(1, len(own) - 1), edits):
+                own[at] = "#"
+            doc = "zz zz " + "".join(own) + " zz"
+            found = list(decontaminate.found_in(doc, indexes))
+            assert [f[3] for f in found] == ([edits] if brute_distance(want, doc) <= most else [])
+
+
+def test_items_under_a_q_gram_are_found_as_whole_words():
+    indexes = decontaminate.build([(1, "2 + 2 = 4?"), (2, "Is it?"), (3, "cat"), (4, ""), (5, None), (6, "x" * 11)])
+    found = lambda t: sorted(decontaminate.found_in(decontaminate.normalise(t), indexes))
+    assert found("so 2 + 2 =  4? yes") == [(1, 3, 13, 0)] and found("12 + 2 = 4?") == []
+    assert found("concatenate cats") == [] and found("concat cat") == [(3, 7, 10, 0)] and found("CAT") == [(3, 0, 3, 0)]
+    assert [f[0] for f in found("this it? is it? cat-cat")] == [2, 3, 3]
+    assert found("") == [] and found("x" * 12) == []
+
+
 def test_planted_leaks_of_the_query(spark, small):
     docs, items = (pd.read_parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
     norm = decontaminate.normalise
@@ -119,7 +145,7 @@ def test_planted_leaks_of_the_query(spark, small):
 
 def test_leaks_of_odd_rows(spark, monkeypatch):
     leak = "The quick brown fox jumps over the lazy dog and sleeps"
-    items = spark.createDataFrame([(1, leak), (2, None), (3, "short"), (4, leak), (5, "another passage that is long enough to be found")], "item_id long, text string")
+    items = spark.createDataFrame([(1, leak), (2, None), (3, "shorter"), (4, leak), (5, "another passage that is long enough to be found")], "item_id long, text string")
     rows = [(1, None, "en"), (2, "", "en"), (3, f"x {leak.upper()}\n y", "en"), (3, f"x {leak.upper()}\n y", "en"), (4, "clean " * 200_000, "en"), (5, leak.replace("quick", "quiet"), "en")]
     docs = docs_of(spark, rows).withColumnRenamed("source", "item_id")
     for size in (1_000_000, 60):  # the second takes several passes
@@ -199,18 +225,61 @@ def test_language_of_held_out_documents(spark, small):
     assert (own.lang_pred == docs.lang[own.doc_id].to_numpy()).mean() > 0.98 and got.score.between(0, 1).all()
 
 
-def test_bundles_like_definition():
-    e = language_id.Encoder()
-    text = "Abba, ähm 12 Ωσ"
-    grams, counts = e.trigrams(text)
-    letters = np.random.default_rng(language_id.SEED).choice(np.array([-1, 1], np.int8), (language_id.SYMBOLS, language_id.DIMENSIONS)).astype(int)
-    points = [e.symbols[ord(c)] for c in " abba ähm ωσ "]
-    want = sum(np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c] for a, b, c in zip(points, points[1:], points[2:]))
-    assert (e.bundle(grams, counts) == want).all()
-    long = e.trigrams("the cat " * 20_000)
+def letter_vector(c):
+    return np.random.default_rng([language_id.SEED, c]).choice(np.array([-1, 1], np.int8), language_id.DIMENSIONS).astype(int)
+
+
+def brute_bundle(text, memo={}):  # noqa: B006
+    """The sum over all trigrams, each bound anew from its letters' vectors."""
+    points = [0]
+    for ch in text.lower():
+        if ch.isalpha() or points[-1]:
+            points.append(ord(ch) if ch.isalpha() else 0)
+    points += [0] if points[-1] else []
+    out = np.zeros(language_id.DIMENSIONS, int)
+    for a, b, c in zip(points, points[1:], points[2:]):
+        if (a, b, c) not in memo:
+            memo[a, b, c] = np.roll(letter_vector(a), 2) * np.roll(letter_vector(b), 1) * letter_vector(c)
+        out += memo[a, b, c]
+    return out
+
+
+def test_bundles_like_definition(monkeypatch):
+    for text in ("Abba, ähm 12 Ωσ", "дом домой 東京 𝔞𝔟", "a", "a!", "the cat " * 3000):
+        for remembered, at_a_time in ((1 << 15, 1 << 12), (4, 3)):
+            monkeypatch.setattr(language_id, "REMEMBERED", remembered)
+            monkeypatch.setattr(language_id, "SLICE", at_a_time)
+            e = language_id.Encoder()
+            for _ in range(2):
+                assert (e.bundle(*e.trigrams(text)) == brute_bundle(text)).all(), text
+    long = language_id.Encoder().trigrams("the cat " * 20_000)
     assert long[1].sum() == 159_999  # " the cat the cat ... cat " has one gap for every word and one more
 
 
+def test_language_query_like_brute_force(spark, tiny):
+    docs = pd.read_parquet(f"{tiny}/documents.parquet")
+    held = [zlib.crc32(str(i).encode()) % 5 == 0 for i in docs.doc_id]
+    vectors = [brute_bundle(t or "") for t in docs.text]
+    protos = {}
+    for v, lang, out in zip(vectors, docs.lang, held):
+        if not out and lang is not None:
+            protos[lang] = protos.get(lang, 0) + v
+    got = {r.doc_id: r for r in queries.op9_language_id(spark, tiny).collect()}
+    assert len(got) == len(docs)
+    cos = lambda a, b: a @ b / math.sqrt(float(a @ a) * float(b @ b))
+    for i, v, out in zip(docs.doc_id, vectors, held):
+        want = max((cos(v, protos[k]), k) for k in sorted(protos)) if v.any() else (0.0, "und")
+        assert got[i].held_out == out and got[i].lang_pred == want[1] and got[i].score == pytest.approx(max(0.0, want[0]), abs=1e-6)
+
+
+def test_scripts_are_told_apart(spark):
+    """Letters far beyond a to z keep vectors of their own."""
+    say = {"ru": "все люди рождаются свободными и равными в своём достоинстве и правах", "uk": "всі люди народжуються вільними і рівними у своїй гідності та правах", "el": "όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι", "zh": "人人生而自由在尊嚴和權利上一律平等他們賦有理性和良心", "ja": "すべての人間は生まれながらにして自由でありかつ尊厳と権利とについて平等である"}
+    rows = [(10 * k + j, t, lang) for k, (lang, t) in enumerate(say.items()) for j in range(10)]
+    got = {r.id: r.lang_pred for r in language_id.identify(docs_of(spark, rows)).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
 def test_languages_of_odd_rows(spark):
     rows = [(i, "the cat sat on the mat and the dog", "en") for i in range(20)] + [(i, "der hund und die katze sind nicht hier", "de") for i in range(20, 40)]
     rows += [(50, None, "en"), (51, "", None), (52, "123 !!", "de"), (None, "the dog", "xx"), (53, "the mat", None), (53, "the mat", None), (54, "und die " * 100_000, None), (55, "𝔞𝔟 𐐀𐐁", None)]

@@ -49,14 +49,22 @@ def test_long_conversations_and_rewriting_templates():
         return "<s>" + chat.turn_template(t)
 
     out, ends = chat.locate(turns, counted)
-    assert len(ends) == 300 and ends[-1] == len(out) and sum(calls) < 4000
-    numbered = lambda t: "".join(f"{i}|{x}\n" for i, (_, x) in enumerate(t))  # noqa: E731  depends on the place: all prefixes are rendered
+    assert len(ends) == 300 and ends[-1] == len(out) and calls == list(range(1, 301))
+    numbered = lambda t: "".join(f"{i}|{x}\n" for i, (_, x) in enumerate(t))
     out, ends = chat.locate(turns, numbered)
     assert [out[a:b] for a, b in zip([0, *ends], ends)] == [f"{i}|{x}\n" for i, (_, x) in enumerate(turns)]
     last_only = lambda t: "".join(x if i == len(t) - 1 else "-" for i, (_, x) in enumerate(t))
     assert chat.locate(turns, last_only)[1] is None and chat.locate(turns[:3], last_only)[1] is None
 
 
+@pytest.mark.parametrize("turns", [60, 100, 300])
+def test_one_rewritten_prefix_is_seen_at_every_length(turns):
+    own = [("user", f"t{i}") for i in range(turns)]
+    footer = lambda t: chat.turn_template(t) + ("--" if len(t) == 50 else "")
+    assert chat.locate(own, footer)[1] is None
+    assert chat.locate(own[:49], footer)[1] is not None
+
+
 def test_chat_of_odd_rows(spark):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, None, None), (None, 0, "user", "x"), (3, 0, "assistant", "z" * 300_000), (4, None, "user", "n"), (4, 0, "user", "m")]
     d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "text as formatted")
@@ -114,6 +122,20 @@ def test_urls_like_brute_force(spark):
     assert {r.verdict for r in none.collect()} == {"allow"} and url_filter.judge(pages.limit(0), entries).count() == 0
 
 
+def test_lists_with_paths_of_many_lengths(spark):
+    """A site's lengths are tried for its own URLs only."""
+    rng = __import__("random").Random(3)
+    letters = "".join(rng.choice("abc/") for _ in range(400))
+    listed = [("long.com", "/" + letters[:n], "block" if n % 3 else "allow") for n in range(200)] + [("a.b.c.d.net", "/q", "block"), ("x.org", "/" + letters[:7], "block")]
+    urls = [f"http://{h}/{letters[:n]}{t}" for h in ("long.com", "w.long.com", "x.org", "other.com", "z.a.b.c.d.net", "verylong.com") for n in (0, 1, 5, 8, 150, 199, 300) for t in ("", "Z")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, spark.createDataFrame([(*e, True) for e in listed], "host string, path string, verdict string, is_rule boolean")).collect()}
+    for i, u in enumerate(urls):
+        host, path = u[7:].split("/", 1)
+        fits = [(len(h + p), h + p, v) for h, p, v in listed if (host == h or host.endswith("." + h)) and f"/{path}".startswith(p)]
+        assert got[i] == (max(fits)[1:] if fits else (None, "allow")), u
+
+
 def test_bloom_filter_never_misses(spark):
     keys = spark.range(5000).selectExpr("concat('k', id) as key")
     blocks, count = url_filter.bloom_blocks(keys, 5000)
@@ -253,6 +275,24 @@ def test_pipeline(spark, small):
     assert sorted((r.doc_id, tuple(r.ids)) for r in again.collect()) == sorted((r.doc_id, tuple(r.ids)) for r in docs.collect())
 
 
+def test_pipeline_with_columns_of_any_name(spark, small, tmp_path):
+    """Further columns may have the names that the operators use for their own results."""
+    pipe = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("doc_id < 60")
+    clashing = ["score", "lang_pred", "held_out", "n_trigrams", "n_words", "n_removed", "text_kept", "id", "row", "__row", "fp", "node", "component_id", "c0", "k0", "ids", "packed", "given", "t"]
+    more = docs.selectExpr("*", *[f"concat('x', doc_id) as `{c}`" for c in clashing])
+    more.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{small}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    plain, wide = docs, spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in pipe.STAGES[:-1]:
+        plain, wide = stage(spark, plain, small), stage(spark, wide, small)
+        assert wide.columns == more.columns and wide.dtypes == more.dtypes, name
+        rows = wide.collect()
+        assert sorted(tuple(r)[:5] for r in rows) == sorted(map(tuple, plain.collect())), name
+        assert all(r[c] == f"x{r.doc_id}" for r in rows for c in clashing)
+    assert pipe.run(spark, str(tmp_path)).count() == len(rows)
+
+
 def test_pipeline_of_odd_rows(spark, tmp_path):
     pipe = pytest.importorskip("corpus_pipeline")
     long = " ".join(f"word{i}" for i in range(80))
