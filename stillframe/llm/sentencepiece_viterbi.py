@@ -5,10 +5,16 @@ cut the text into pieces the one of the greatest summed score is taken;
 characters without a piece become byte pieces. Pieces do not go on past the
 beginning of a marker, so a text is cut into units there, and each worker
 remembers the pieces of the units that it has met.
+
+A unigram model's file has log probabilities. A BPE model's has the negated
+ranks of its merges, whose sums mean nothing; its pieces get log probabilities by
+Zipf's law instead, p ~ 1 / (rank + 1) over their order in the file. Nothing is
+trained.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 from collections.abc import Iterator
@@ -25,6 +31,7 @@ MARKER = "▁"
 REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, USER_DEFINED, UNUSED, BYTE = 1, 2, 4, 5, 6
+UNIGRAM, BPE = 1, 2
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -61,6 +68,7 @@ class Model:
     kinds: list[int]
     scores: np.ndarray
     prefix: bool
+    squeeze: bool
     codes: dict[int, int]
     base: np.ndarray
     check: np.ndarray
@@ -115,22 +123,47 @@ def double_array(words: dict[str, int], codes: dict[int, int]) -> tuple[np.ndarr
     return base, check, value
 
 
+def log_scores(scores: list[float], kinds: list[int], model_type: int) -> np.ndarray:
+    """Log scores of pieces: a unigram model's own, or by Zipf's law over the order of a BPE model's.
+
+    Pieces defined by the user get more than any cut of their characters can have.
+    """
+    if model_type not in (UNIGRAM, BPE):
+        raise ValueError("only unigram and BPE models are supported")
+    out, normal = np.array(scores, np.float64), np.array([k == NORMAL for k in kinds], bool)
+    if model_type == BPE:
+        rank = np.arange(1, normal.sum() + 1)
+        out[normal] = -np.log(rank) - math.log((1.0 / rank).sum())
+    return out
+
+
 def load(path: str = MODEL) -> Model:
     with open(path, "rb") as f:
         data = f.read()
-    pieces, kinds, scores, prefix, squeeze = [], [], [], True, True
+    pieces, kinds, scores, prefix, squeeze, model_type = [], [], [], True, True, UNIGRAM
     for number, value in _fields(data):
         if number == 1:
             own = dict(_fields(value))
             pieces.append(own.get(1, b"").decode())
             scores.append(struct.unpack("<f", own[2])[0] if 2 in own else 0.0)
             kinds.append(own.get(3, NORMAL))
+        elif number == 2:
+            model_type = dict(_fields(value)).get(3, UNIGRAM)
         elif number == 3:
             own = dict(_fields(value))
             prefix, squeeze = bool(own.get(3, 1)), bool(own.get(4, 1))
-    if squeeze:
-        raise ValueError("models that drop extra white space are not supported")
-    words = {p: i for i, (p, k) in enumerate(zip(pieces, kinds)) if k in (NORMAL, USER_DEFINED, UNUSED)}
+            if own.get(2):
+                raise ValueError("models with a map of characters are not supported")
+    return model_of(pieces, kinds, scores, prefix, squeeze, model_type)
+
+
+def model_of(pieces: list[str], kinds: list[int], scores: list[float], prefix: bool = True, squeeze: bool = False, model_type: int = UNIGRAM) -> Model:
+    own = log_scores(scores, kinds, model_type)
+    best = max((s for s, k in zip(own.tolist(), kinds) if k == NORMAL), default=0.0)
+    for i, k in enumerate(kinds):
+        if k == USER_DEFINED:
+            own[i] = len(pieces[i]) * max(best, 0.0) + 1.0
+    words = {p: i for i, (p, k) in enumerate(zip(pieces, kinds)) if k in (NORMAL, USER_DEFINED)}
     codes = {ord(c): n for n, c in enumerate(sorted(set("".join(words))), 1)}
     # a unit goes up to the next marker, and a line feed is one, if no piece goes past these
     if any(re.search(f"[^{MARKER}]{MARKER}", p) for p in words):
@@ -139,7 +172,7 @@ def load(path: str = MODEL) -> Model:
         unit = f"(?s){MARKER}+[^{MARKER}]*|[^{MARKER}]+"
     else:
         unit = f"{MARKER}+[^{MARKER}\n]*|[^{MARKER}\n]+|\n"
-    return Model(pieces, kinds, np.array(scores, np.float64), prefix, codes, *double_array(words, codes), unit)
+    return Model(pieces, kinds, own, prefix, squeeze, codes, *double_array(words, codes), unit)
 
 
 class Codec:
@@ -165,7 +198,9 @@ class Codec:
         return [self.byte_ids[b] for b in ch.encode("utf-8", "surrogatepass")] if self.byte_ids else [self.unknown_id]
 
     def units(self, text: str) -> list[str]:
-        """The units of a text; a marker that the text itself has stands alone, as None would be read as a space."""
+        """The units of a text; a marker that the text itself has stands alone, as an empty unit, else it would be read as a space."""
+        if self.m.squeeze:
+            text = re.sub(" +", " ", text).strip(" ")
         if not text:
             return []
         out: list[str] = []
@@ -306,7 +341,8 @@ def _codec_of(model: Model) -> Codec:
 def encode(docs: DataFrame, keep: list[str], text_col: str = "text", model: str = MODEL) -> DataFrame:
     """``keep`` columns with ids, n_tokens, n_byte_tokens and round_trip of every row.
 
-    round_trip tells whether the decoded ids are the text again. A null text is
+    round_trip tells whether the decoded ids are the text again, which models
+    that drop extra spaces do not promise. A null text is
     encoded as an empty one, without pieces. Repeated rows give repeated results
     and an empty table an empty one. The model is read by the driver.
     """
