@@ -236,16 +236,44 @@ def test_boilerplate_like_brute_force(spark, monkeypatch, size):
     assert [got[k] for k in range(len(pages))] == brute_unique(pages) and got[99] == shared[0]
 
 
-def test_suffix_classes():
+def test_suffix_array():
     import numpy as np
 
-    t = np.random.default_rng(1).integers(0, 3, 300)
-    for n in (1, 2, 3, 6, 8):
-        c = html_extract.suffix_classes(t, n)
-        runs = {}
-        for i in range(len(t) - n + 1):
-            assert runs.setdefault(tuple(t[i : i + n]), c[i]) == c[i]
-        assert len(set(runs.values())) == len(runs)
+    for n, kinds in ((300, 3), (200, 1), (1, 1), (0, 1), (64, 60)):
+        t = np.random.default_rng(n).integers(0, kinds, n)
+        order, shared = html_extract.suffix_array(t)
+        own = t.tolist()
+        assert order.tolist() == sorted(range(n), key=lambda i: own[i:])
+        for k in range(1, n):
+            a, b = own[order[k - 1] :], own[order[k] :]
+            assert shared[k] == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def test_the_array_decides_on_doubtful_parts(spark):
+    """Of parts whose names are like boilerplate's, those that recur on the host go and those that are of one page stay."""
+    rows = []
+    for k in range(12):
+        own = " ".join(f"own{k}x{i}" for i in range(20))
+        price = f"<div class='share-price'>share price of firm {k} rose by {k * 7} to {k * 31}</div>"
+        promo = "<div class='cookie-recipes'>subscribe now to get all of our best offers every single week</div>"
+        rows.append((k, f"http://h{k // 6}.org/{k}", page(f"<nav><a>menu {k}</a></nav><article><p>{own}</p>{price}{promo}<section class='social-history'><p>{own} again</p></section></article>")))
+    rows.append((20, "http://rare.org/", page("<article><p>a</p><div class='share-price'>Share price rose</div><section class='social-history'><p>Long body</p></section><div class='ad-slot'>buy</div></article>")))
+    rows.append((21, "http://rare.org/2", page("<article><h2>one</h2></article><article><h2>two</h2></article><div><p>the body of this page is out here and it is long</p></div>")))
+    got = text_of(spark, rows)
+    for k in range(12):
+        own = " ".join(f"own{k}x{i}" for i in range(20))
+        assert got[k] == f"{own}\nshare price of firm {k} rose by {k * 7} to {k * 31}\n{own} again"
+    assert got[20] == "a\nShare price rose\nLong body" and got[21] == "the body of this page is out here and it is long"
+
+
+def test_boilerplate_named_elsewhere_counts(spark):
+    """What other pages have in their menus is boilerplate in a doubtful part."""
+    menu = "home news sport weather culture travel contact"
+    rows = [(k, "http://h.org/", page(f"<nav>{menu}</nav><article><p>text {k}</p></article>")) for k in range(3)]
+    rows.append((3, "http://h.org/", page(f"<div>{menu}</div><p>this page marks no article at all but says this</p>")))
+    rows.append((4, "http://other.org/", page(f"<div>{menu}</div><p>nor does this one</p>")))
+    got = text_of(spark, rows)
+    assert got[3] == "this page marks no article at all but says this" and got[4] == f"{menu}\nnor does this one" and got[0] == "text 0"
 
 
 # --- pipeline
