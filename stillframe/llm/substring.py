@@ -1,14 +1,18 @@
-"""Substring dedup: documents parsed against the indexed blocks of all documents.
+"""Substring dedup by relative Lempel-Ziv parsing against the blocks of all documents.
 
 A window is 35 consecutive words. Of its 18 runs of 18 words the one with the
 least hash is its anchor, so equal windows have equal anchors at equal places.
 The windows that share one occurrence of an anchor follow each other; the words
-they cover are a reference block, and the blocks of all documents are the index.
-Every document is a row of such blocks, and is parsed against the index from
-left to right: while its blocks occur elsewhere too, they form one factor, all
-of whose windows are repeated. At factor boundaries are blocks whose anchor
-occurs elsewhere, but whose words differ there: their windows are looked up one
-by one, by a hash of 128 bits. What repeated windows cover is removed.
+they cover are a block, and every different block is a reference block, indexed
+by its anchor with its first and its last place in the corpus.
+
+Every document is a row of blocks and is parsed against the index from left to
+right: a factor is the longest stretch, block after block, that the text at one
+of these places goes on with, and the next one begins behind it. At the ends of
+factors are blocks whose anchor occurs elsewhere while their words differ there:
+their windows are looked up one by one, by a hash of 128 bits, and lengthen the
+factor or form one of their own. Factors have 35 words or more; what they cover
+is removed.
 """
 
 from __future__ import annotations
@@ -165,26 +169,75 @@ def cut(text: str, covered: np.ndarray, layout: bool) -> str:
     return "".join([*kept, text[at:]])
 
 
-def _flags(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(id, packed)``: every document's repeated blocks (tag 0), those of them that are not repeated whole (1), their repeated windows (2)."""
+def _place() -> F.Column:
+    return F.struct("id", "first")
+
+
+def _span(count: F.Column) -> F.Column:
+    """First window, number of windows, and the two reference places, as numbers."""
+    return F.array(*[c.cast("long") for c in (F.col("first"), count, F.col("low.id"), F.col("low.first"), F.col("high.id"), F.col("high.first"))]).alias("span")
+
+
+def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(id, spans)``: of every document the blocks and the windows of other blocks that occur elsewhere, and where."""
     index = scratch.keep(_index(docs))
     # written first, so that the join's shuffle is its own and a hot anchor's rows can be split
     common = scratch.keep(index.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     known = scratch.keep(index.join(common, "h", "left_semi"))
     scratch.forget(index)
-    kinds = scratch.keep(known.groupBy("h", "block").agg(F.count("*").alias("n"), F.first("id").alias("id"), F.first("first").alias("first"), F.first("count").alias("count")))
-    edge = kinds.where("n = 1")
+    scratch.forget(common)
+    kinds = scratch.keep(known.groupBy("h", "block").agg(F.count("*").alias("n"), F.first("count").alias("count"), F.min(_place()).alias("low"), F.max(_place()).alias("high")))
+    edge, reference = kinds.where("n = 1"), kinds.where("n > 1")
+    whole = scratch.keep(known.join(reference.select("h", "block", "low", "high"), ["h", "block"]).select("id", _span(F.col("count"))))
+    scratch.forget(known)
     # windows of edge blocks are compared with those of every other block around the same anchor
-    others = kinds.where("n > 1").join(edge.select("h").distinct(), "h", "left_semi")
-    wanted = edge.select("id", _pack(1).alias("packed")).unionByName(others.select("id", _pack(2).alias("packed")))
-    windows = scratch.keep(_looked_up(docs, wanted))
-    again = scratch.keep(windows.groupBy("a", "b").agg(F.sum("weight").alias("n")).where("n > 1").select("a", "b"))
-    found = windows.where("weight = 1").join(again, ["a", "b"], "left_semi").select("id", "first", F.lit(1).alias("count"))
-    rows = known.select("id", _pack(0).alias("packed")).unionByName(edge.select("id", _pack(1).alias("packed"))).unionByName(found.select("id", _pack(2).alias("packed")))
-    flags = scratch.keep(rows.groupBy("id").agg(F.collect_list("packed").alias("packed")))
-    for t in (common, known, kinds, windows, again):
+    others = reference.join(edge.select("h").distinct(), "h", "left_semi")
+    wanted = lambda d, tag: d.select("low.id", "low.first", "count").select("id", _pack(tag).alias("packed"))
+    windows = scratch.keep(_looked_up(docs, wanted(edge, 1).unionByName(wanted(others, 2))))
+    again = scratch.keep(windows.groupBy("a", "b").agg(F.sum("weight").alias("n"), F.min(_place()).alias("low"), F.max(_place()).alias("high")).where("n > 1").select("a", "b", "low", "high"))
+    found = windows.where("weight = 1").join(again, ["a", "b"]).select("id", _span(F.lit(1)))
+    spans = scratch.keep(whole.unionByName(found).groupBy("id").agg(F.flatten(F.collect_list("span")).alias("spans")))
+    for t in (kinds, whole, windows, again):
         scratch.forget(t)
-    return flags
+    return spans
+
+
+def parse(spans: list[int], own: int) -> list[tuple[int, int, int, int]]:
+    """A document's factors, as (first word, words, document and first word of the reference)."""
+    rows = np.array(spans, np.int64).reshape(-1, 6)
+    rows = rows[np.argsort(rows[:, 0], kind="stable")].tolist()
+    out, i, n = [], 0, len(rows)
+    while i < n:
+        first, count, *places = rows[i]
+        best = (i, 0, 0, 0)
+        for source, at in (places[:2], places[2:]):
+            if source == own and at == first:
+                continue
+            shift, end, j = at - first, first + count, i + 1
+            while j < n:
+                f, c, low, low_at, high, high_at = rows[j]
+                if f != end or not (low == source and low_at - f == shift or high == source and high_at - f == shift):
+                    break
+                end, j = end + c, j + 1
+            if j > best[0]:
+                best = (j, end, source, at)
+        i, end, source, at = best
+        out.append((first, end - first + WINDOW - 1, source, at))
+    return out
+
+
+def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, begin, words, source, source_begin)`` of every factor, for whole-number ids that are given and unique.
+
+    Places are words, from 0. The text at the source has the factor's words.
+    """
+    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for i, spans in rows:
+            yield from ((i, *f) for f in parse(spans, i))
+
+    return map_rows(_spans(d, Scratch(docs.sparkSession, "factors")), ["id", "spans"], "id long, begin long, words long, source long, source_begin long", run)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", layout: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -203,24 +256,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names = [f"k{i}" for i in range(len(keep))]
     d = docs.select(F.col(id_col).alias("given"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
     d = with_rows(d, "given", "id", scratch)
-    flags = _flags(d, scratch)
+    spans = _spans(d, scratch)
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for *kept, text, packed in rows:
+        for *kept, text, i, own in rows:
             text = text or ""
             n = len(_words(text))
             covered = np.zeros(n, bool)
-            if packed:
-                p = np.array(packed, np.int64)
-                edge = p[p & 3 == 1] - 1
-                edges = np.zeros(n + 1, np.int64)
-                for q in (np.setdiff1d(p[p & 3 == 0], edge), p[p & 3 == 2]):
-                    np.add.at(edges, q >> 8, 1)
-                    np.add.at(edges, (q >> 8) + (q >> 2 & 63) + WINDOW - 1, -1)
-                covered = np.cumsum(edges)[:n] > 0
+            if own:
+                for begin, words, *_ in parse(own, i):
+                    covered[begin : begin + words] = True
             gone = int(covered.sum())
             yield *kept, cut(text, covered, layout) if gone or not layout else text, n, gone
 
     schema = ", ".join(f"{n} {d.schema[n].dataType.simpleString()}" for n in names)
-    joined = d.join(flags, "id", "left")
-    return map_rows(joined, [*names, "text", "packed"], f"{schema}, text string, n_words long, n_removed long", run).toDF(*keep, f"{text_col}_kept", "n_words", "n_removed")
+    joined = d.join(spans, "id", "left")
+    return map_rows(joined, [*names, "text", "id", "spans"], f"{schema}, text string, n_words long, n_removed long", run).toDF(*keep, f"{text_col}_kept", "n_words", "n_removed")

@@ -137,6 +137,53 @@ def test_substring_cases(spark):
     assert laid == {0: "top\ntail  end\n", 1: ""}
 
 
+def check_factors(texts, rows):
+    """Factors say what their sources say, are long, lie apart but for what windows share, and cover what is repeated."""
+    words = {i: (t or "").encode().split() for i, t in texts.items()}
+    covered = {i: [False] * len(w) for i, w in words.items()}
+    last = {}
+    for r in sorted(rows, key=lambda r: (r.id, r.begin)):
+        assert r.words >= 35 and (r.id, r.begin) != (r.source, r.source_begin)
+        assert words[r.id][r.begin : r.begin + r.words] == words[r.source][r.source_begin : r.source_begin + r.words]
+        covered[r.id][r.begin : r.begin + r.words] = [True] * r.words
+        if r.id in last:
+            assert r.begin > last[r.id].begin + last[r.id].words - 35
+            if r.begin == last[r.id].begin + last[r.id].words - 34:  # the next window: the factor before went on nowhere
+                assert (r.source, r.source_begin - r.begin) != (last[r.id].source, last[r.id].source_begin - last[r.id].begin)
+        last[r.id] = r
+    where = {}
+    for i, w in words.items():
+        for k in range(len(w) - 34):
+            where.setdefault(tuple(w[k : k + 35]), []).append((i, k))
+    want = {i: [False] * len(w) for i, w in words.items()}
+    for places in where.values():
+        if len(places) > 1:
+            for i, k in places:
+                want[i][k : k + 35] = [True] * 35
+    assert covered == want
+    return len(rows)
+
+
+def test_factors(spark, small):
+    import random
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert check_factors({r.doc_id: r.text for r in docs.collect()}, substring.factors(docs).collect()) > 100
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(400)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 40):  # stretches of the base, some behind each other, some in doubled words
+        own = []
+        for _ in range(rng.randint(1, 5)):
+            a = rng.randrange(360)
+            own += base[a : a + rng.randint(5, 200)] + [f"x{i}"] * rng.randrange(60)
+        texts[i] = " ".join(own)
+    got = substring.factors(docs_of(spark, list(texts.values()), list(texts))).collect()
+    check_factors(texts, got)
+    whole = substring.factors(docs_of(spark, [" ".join(base)] * 2 + [" ".join(base[50:300])], [1, 2, 3])).collect()
+    assert sorted((r.id, r.begin, r.words, r.source, r.source_begin) for r in whole if r.id == 3) == [(3, 0, 250, 1, 50)]
+
+
 def test_long_documents_in_pieces(spark, monkeypatch):
     import random
 
