@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 
 from stillframe.llm import decontaminate, language_id, masked_lm, quality_rules, queries
+from stillframe.llm.common import Scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -21,40 +22,111 @@ def docs_of(spark, rows):
 # --- 1: masked pseudo-likelihood
 
 
-def test_scores_are_the_networks_sums(spark, tiny):
-    texts = pd.read_parquet(f"{tiny}/documents.parquet")
-    got = {r.doc_id: r for r in queries.op1_lm_scoring(spark, tiny).collect()}
-    counts = Counter(w for t in texts.text for w in t.lower().encode().split())
-    frequent = [h for h, _ in sorted(((masked_lm._hash(w), n) for w, n in counts.items()), key=lambda x: (-x[1], x[0]))][: masked_lm.FREQUENT]
-    vocabulary, v = masked_lm.Vocabulary(frequent), masked_lm.TOKENS
-    near, apart = np.zeros((v, v)), np.zeros((v, v))
-    tokens = [vocabulary.tokens(t) for t in texts.text]
-    for t in tokens:
-        np.add.at(near, (t[:-1], t[1:]), 1)
-        np.add.at(apart, (t[:-2], t[2:]), 1)
-    network = masked_lm.train(near, apart)
-    for i, t in zip(texts.doc_id, tokens):
-        assert got[i].n_tokens == len(t) - 2
-        want = sum(float(network.left[a, w]) + float(network.right[b, w]) - float(network.log_z[a, b]) for a, w, b in zip(t, t[1:], t[2:]))
-        assert got[i].log_likelihood == pytest.approx(want, rel=1e-3)
-    assert len(got) == len(texts)
-
-
-def test_network_is_a_distribution_and_learns():
-    rng = np.random.default_rng(0)
-    v = 20
-    seq = [0]
-    for _ in range(20_000):
-        seq.append((seq[-1] % 19) + 1 if rng.random() < 0.9 else int(rng.integers(1, v)))
-    t = np.array([*seq, 0])
-    near, apart = np.zeros((v, v)), np.zeros((v, v))
-    np.add.at(near, (t[:-1], t[1:]), 1)
-    np.add.at(apart, (t[:-2], t[2:]), 1)
-    n = masked_lm.train(near, apart, width=16, steps=150)
-    p = np.exp(n.left[3][None, :] + n.right[5][None, :] - n.log_z[3, 5])
-    assert p.sum() == pytest.approx(1, abs=1e-3) and p.argmax() == 4
-    shuffled = np.concatenate(([0], rng.permutation(t[1:-1]), [0]))
-    assert n.score(t) / len(t) > -1.0 > n.score(shuffled) / len(t)
+def brute_score(texts, network, sent=None):
+    """Each text's sum, token by token, from plain counters and the network's weights."""
+    import xxhash
+
+    lm = masked_lm
+    own = [(t or "").lower().encode().split() for t in texts]
+    n = Counter(w for t in own for w in t)
+    signed = lambda w: (h := xxhash.xxh64_intdigest(w, 1)) - (1 << 64) * (h >> 63)
+    rank = {w: i for i, w in enumerate(sorted(n, key=lambda w: (-n[w], signed(w))))}
+    kind = {w: r if (r := rank[w]) < lm.OWN else lm.OWN + xxhash.xxh64_intdigest(w[-2:], 2) % (lm.CLASSES - lm.OWN) for w in n}
+    symbol = {w: 1 + r if (r := rank[w]) < lm.OWN_SYMBOLS else 1 + lm.OWN_SYMBOLS + xxhash.xxh64_intdigest(w[-3:], 2) % (lm.SYMBOLS - lm.OWN_SYMBOLS - 1) for w in n}
+    tokens, words = Counter(), Counter(kind.values())
+    for w, c in n.items():
+        tokens[kind[w]] += c
+    e, o = network.e.reshape(4, lm.SYMBOLS, -1).astype(float), network.o.astype(float)
+    out = []
+    for t in own:
+        s = [0, 0, *(symbol[w] for w in t), 0, 0]
+        mine, mine_of = Counter(t), Counter(kind[w] for w in t)
+        total = 0.0
+        for i, w in enumerate(t):
+            q = np.tanh(network.a + e[0, s[i]] + e[1, s[i + 1]] + e[2, s[i + 3]] + e[3, s[i + 4]]) @ o + network.b
+            total += q[kind[w]] - np.log(np.exp(q).sum())
+            total += math.log(n[w] - mine[w] + lm.UNSEEN) - math.log(tokens[kind[w]] - mine_of[kind[w]] + lm.UNSEEN * (words[kind[w]] + 1))
+        out.append(total)
+    return out
+
+
+def test_scores_like_brute_force(spark, tiny, monkeypatch):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    rows = docs.orderBy("doc_id").collect()
+    for sent in (masked_lm.MOST_SENT, 1500):  # the second leaves most words to the join
+        monkeypatch.setattr(masked_lm, "MOST_SENT", sent)
+        got = {r.id: r for r in masked_lm.score(docs).collect()}
+        _, counts = masked_lm.count_words(docs, "text", Scratch(spark, "test"))
+        assert len(counts.n) <= sent and len(got) == len(rows)
+        network = masked_lm.fit(docs, "text", counts)
+        for r, want in zip(rows, brute_score([r.text for r in rows], network)):
+            assert got[r.doc_id].n_tokens == len((r.text or "").split()) or "\x1c" in r.text
+            assert got[r.doc_id].log_likelihood == pytest.approx(want, rel=1e-3, abs=1e-3)
+            if got[r.doc_id].n_tokens:
+                assert got[r.doc_id].mean_log_likelihood == pytest.approx(want / got[r.doc_id].n_tokens, rel=1e-3)
+
+
+def test_both_factors_are_distributions(spark):
+    """All classes sum to one, and so do all words of a class with what is unseen."""
+    texts = [f"a b c{i % 7} d{i % 50} ending{i}" for i in range(300)]
+    _, counts = masked_lm.count_words(docs_of(spark, [(i, t, "en") for i, t in enumerate(texts)]), "text", Scratch(spark, "test"))
+    network = masked_lm.Network(counts.tokens)
+    around = np.random.default_rng(1).integers(0, masked_lm.SYMBOLS, (50, 4))
+    p = np.exp(network.log_p(around)[1])
+    assert p.sum(1) == pytest.approx(np.ones(50), abs=1e-4)
+    kinds = np.arange(50) % masked_lm.CLASSES
+    assert network.log_p_of(around, kinds) == pytest.approx(np.log(p[np.arange(50), kinds]), abs=1e-4)
+    network.o *= 1000  # too large to exponentiate as they are
+    assert np.isfinite(network.log_p_of(around, kinds)).all()
+    v = masked_lm.Vocabulary(counts)
+    v.numbers(" ".join(texts))
+    of, n = v.kind[: len(v)], v.n[: len(v)]
+    for c in range(masked_lm.CLASSES):
+        assert counts.tokens[c] == n[of == c].sum() and counts.words[c] == (of == c).sum()
+        total = counts.tokens[c] + masked_lm.UNSEEN * (counts.words[c] + 1)
+        assert (n[of == c] + masked_lm.UNSEEN).sum() + masked_lm.UNSEEN == pytest.approx(total)
+
+
+def test_gradients_like_differences():
+    rng = np.random.default_rng(3)
+    network = masked_lm.Network(np.ones(masked_lm.CLASSES))
+    for k in network.NAMES:
+        setattr(network, k, getattr(network, k).astype(np.float64) + rng.normal(0, 0.1, getattr(network, k).shape))
+    around, kinds = rng.integers(0, 6, (40, 4)), rng.integers(0, 9, 40)
+    mean = lambda: network.log_p(around)[1][np.arange(40), kinds].mean()
+    for k, g in network.gradients(around, kinds).items():
+        x = getattr(network, k)
+        rows, sums = g if k == "e" else (np.arange(len(x)), g)
+        for _ in range(8):
+            i = rng.integers(len(rows))
+            at = (rows[i], *(rng.integers(m) for m in x.shape[1:]))
+            before, h = x[at], 1e-5
+            x[at] = before + h
+            up = mean()
+            x[at] = before - h
+            slope = (up - mean()) / (2 * h)
+            x[at] = before
+            assert np.asarray(sums)[(i, *at[1:])] == pytest.approx(slope, abs=1e-6)
+
+
+def test_order_and_support_by_other_documents_raise_scores(spark):
+    """Texts in the corpus's order score above the same words shuffled, copies above texts that occur once."""
+    rng = random.Random(5)
+    follow = {i: [rng.randrange(60) for _ in range(2)] for i in range(60)}
+    rows = []
+    for i in range(400):
+        w, own = rng.randrange(60), []
+        for _ in range(80):
+            own.append(f"w{w}")
+            w = rng.choice(follow[w])
+        rows.append((i, " ".join(own), "en"))
+    rare = lambda k: " ".join(f"rare{k}x{j} w{rng.randrange(60)}" for j in range(20))
+    shuffled = [(1000 + i, " ".join(rng.sample(t.split(), 80)), "en") for i, t, _ in rows[:40]]
+    copies, single = [rare(k) for k in range(20)], [rare(100 + k) for k in range(20)]
+    rows += shuffled + [(2000 + 10 * k + j, t, "en") for k, t in enumerate(copies) for j in range(2)] + [(3000 + k, t, "en") for k, t in enumerate(single)]
+    got = {r.id: r.mean_log_likelihood for r in masked_lm.score(docs_of(spark, rows)).collect()}
+    assert sum(got[1000 + i] < got[i] for i in range(40)) > 36
+    assert min(got[2000 + 10 * k] for k in range(20)) > max(got[3000 + k] for k in range(20))
 
 
 def test_scores_of_odd_rows(spark):
