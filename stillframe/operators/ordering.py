@@ -9,51 +9,39 @@ from pyspark.sql import functions as F
 
 #: Ranges that a table's order is cut into, at least and at most; between these as many as a shuffle has partitions.
 LEAST_RANGES, MOST_RANGES = 64, 4096
+#: Rows drawn for each range; only how even the ranges are depends on them.
+DRAWN = 32
 
 
-def _range_of(df: DataFrame, key: Column) -> Column:
-    """Number of the range that a key falls into; bounds are approximate percentiles, so ranges have about as many rows each.
+def _range_of(df: DataFrame, order: list[str]) -> Column:
+    """Number of the range that a row falls into, by its whole key; bounds are keys of drawn rows, so ranges have about as many rows each.
 
     A key is looked for among every so many bounds first, and then among those
-    that follow the one found.
+    that follow the one found. Nulls come first, as in an ascending sort.
     """
     ranges = max(LEAST_RANGES, min(MOST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    bounds = df.agg(F.percentile_approx(key, [k / ranges for k in range(1, ranges)], 10_000).alias("b")).first()["b"] or []
-    cuts = sorted(set(bounds))
+    drawn = df.select(*order).withColumn("__draw", F.rand(1)).orderBy("__draw").limit(ranges * DRAWN).drop("__draw").orderBy(*order).collect()
+    cuts = list(dict.fromkeys(tuple(drawn[k * len(drawn) // ranges]) for k in range(1, ranges))) if drawn else []
     if not cuts:
         return F.lit(0)
+    kinds = [df.schema[c].dataType for c in order]
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    literal = lambda rows: F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(row, kinds))]) for row in rows])
     step = math.isqrt(len(cuts) - 1) + 1
     parts = [cuts[i : i + step] for i in range(0, len(cuts), step)]
     not_over = lambda array: F.size(F.filter(array, lambda b: b <= key))
-    literal = lambda values: F.array(*map(F.lit, values))
     at = not_over(literal([p[0] for p in parts]))
     inside = not_over(F.element_at(F.array(*map(literal, parts)), F.greatest(F.lit(1), at)))
     return F.when(at == 0, F.lit(0)).otherwise((at - 1) * step + inside)
 
 
-def text_key(c: Column, skip: int = 0) -> Column:
-    """A number that grows with a string's bytes, from seven of them."""
-    return F.conv(F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 2 * skip + 1, 14), 14, "0"), 16, 10).cast("long")
-
-
-def _key(df: DataFrame, column: str) -> Column:
-    c = F.col(column)
-    kind = df.schema[column].dataType.simpleString()
-    if kind != "string":
-        return c.cast("double") if kind != "timestamp" else F.unix_micros(c)
-    ends = df.agg(F.min(c).alias("a"), F.max(c).alias("b")).first()
-    a, b = ((ends[k] or "").encode() for k in "ab")
-    shared = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-    return text_key(c, shared)
-
-
 def numbered(df: DataFrame, order: list[str], name: str = "rn") -> DataFrame:
-    """``df`` with a row number from 1 on over ``order``, whose first column leads.
+    """``df`` with a row number from 1 on over ``order``, nulls first.
 
-    Rows are dealt into ranges of the leading column, numbered there, and moved
-    up by how many rows earlier ranges have; those counts are one row a range.
+    Rows are dealt into ranges of their whole key, numbered there, and moved up
+    by how many rows earlier ranges have; those counts are one row a range.
     """
-    d = df.withColumn("__range", _range_of(df, _key(df, order[0])))
+    d = df.withColumn("__range", _range_of(df, order))
     found = {r[0]: r[1] for r in d.groupBy("__range").count().collect()}
     before = [0]
     for i in range(max(found, default=0)):
@@ -64,9 +52,7 @@ def numbered(df: DataFrame, order: list[str], name: str = "rn") -> DataFrame:
 
 def running_counts(df: DataFrame, order: list[str], group: str, values: dict[str, Column]) -> DataFrame:
     """``df`` with, for each value, its sum over the rows of the same group up to this one in ``order``."""
-    if df.schema[order[0]].dataType.simpleString() == "string":  # numbers are dealt more evenly, and joined without their expression
-        return running_counts(numbered(df, order, "__rn"), ["__rn"], group, values).drop("__rn")
-    d = df.withColumn("__range", _range_of(df, _key(df, order[0]))).withColumns({f"__{k}": v for k, v in values.items()})
+    d = df.withColumn("__range", _range_of(df, order)).withColumns({f"__{k}": v for k, v in values.items()})
     sums = d.groupBy(group, "__range").agg(*[F.sum(f"__{k}").alias(f"__s_{k}") for k in values])
     before = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(group, "__range", *[F.coalesce(F.sum(f"__s_{k}").over(before), F.lit(0)).alias(f"__b_{k}") for k in values])

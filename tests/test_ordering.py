@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from stillframe.operators.ordering import numbered, running_counts
+from stillframe.operators.ordering import _range_of, numbered, running_counts
 
 
 def table(spark, n=3000, keys=400):
@@ -43,3 +43,14 @@ def test_running_sums(spark):
             n[r[3]], total[r[3]] = n.get(r[3], 0) + 1, total.get(r[3], 0) + r[4]
             want[r[2]] = (n[r[3]], total[r[3]])
         assert got == want
+
+
+def test_ranges_are_even_whatever_the_keys_share(spark):
+    """Long common prefixes, outliers, and one leading value for most rows."""
+    names = [f"product-photo-{i:08}" for i in range(20_000)] + ["aaa", "zzz", None]
+    d = spark.createDataFrame([(n, "x" if i % 10 else "y", i) for i, n in enumerate(names)], "name string, kind string, i long")
+    for order in (["name"], ["kind", "name"], ["kind", "i"]):
+        sizes = [r["count"] for r in d.groupBy(_range_of(d, order).alias("r")).count().collect()]
+        assert max(sizes) <= 4 * sum(sizes) / 64 and len(sizes) > 32
+    got = {r.i: r.rn for r in numbered(d, ["name"]).collect()}
+    assert got[20_002] == 1 and got[20_000] == 2 and got[20_001] == 20_003 and all(got[i] == i + 3 for i in range(20_000))
