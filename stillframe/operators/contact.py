@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.flags import category_or_unknown, is_good
 from ..functions.text import stem
 from ..schema import BAD, RECOVERED
+from .ordering import numbered
 
 BORDER, HEADER, PADDING = 2, 28, 4
 CROPPED = ("jpg", "jpeg", "png", "webp")
@@ -56,7 +57,7 @@ def layout(found: DataFrame, thumb: int = 100, columns: int = 20) -> DataFrame:
     cell = thumb + 2 * BORDER
     rows = F.ceil(F.col("n") / columns)
     above = Window.orderBy("category").rowsBetween(Window.unboundedPreceding, -1)
-    tops = headers(found).withColumn("top", PADDING + HEADER + F.coalesce(F.sum(HEADER + rows * cell).over(above), F.lit(0))).select("category", "top")
-    at = F.row_number().over(Window.partitionBy("category").orderBy("name", "file")) - 1
-    d = found.withColumn("i", at).join(tops, "category")
-    return d.withColumns({"x": PADDING + F.col("i") % columns * cell, "y": F.col("top") + F.floor(F.col("i") / columns) * cell}).drop("i", "top")
+    sums = lambda c: F.coalesce(F.sum(c).over(above), F.lit(0))  # noqa: E731  over categories, which are few
+    tops = headers(found).select("category", (PADDING + HEADER + sums(HEADER + rows * cell)).alias("top"), sums(F.col("n")).alias("before"))
+    d = numbered(found, ["category", "name", "file"], "i").join(F.broadcast(tops), "category").withColumn("i", F.col("i") - 1 - F.col("before"))
+    return d.withColumns({"x": PADDING + F.col("i") % columns * cell, "y": F.col("top") + F.floor(F.col("i") / columns) * cell}).drop("i", "top", "before")

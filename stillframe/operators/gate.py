@@ -14,10 +14,14 @@ def _rows(results: DataFrame) -> DataFrame:
     return results.withColumns({"category": category_or_unknown(F.col("category")), "good": is_good(F.coalesce("status", F.lit("")))})
 
 
+def counts(results: DataFrame) -> DataFrame:
+    """``(category, total, good)``."""
+    return _rows(results).groupBy("category").agg(F.count("*").alias("total"), F.count_if("good").alias("good"))
+
+
 def breaches(results: DataFrame, gate: GateRules) -> DataFrame:
     """Categories with enough images whose share of good ones is too small."""
-    d = _rows(results).groupBy("category").agg(F.count("*").alias("total"), F.count_if("good").alias("good"))
-    return d.withColumn("rate", F.col("good") / F.col("total")).where((F.col("total") >= gate.min_samples) & (F.col("rate") < gate.min_success_rate))
+    return counts(results).withColumn("rate", F.col("good") / F.col("total")).where((F.col("total") >= gate.min_samples) & (F.col("rate") < gate.min_success_rate))
 
 
 def top_flags(results: DataFrame, gate: GateRules, n: int = 3) -> DataFrame:

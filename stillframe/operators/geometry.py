@@ -18,12 +18,10 @@ def truncated(c: Column) -> Column:
 def with_rules(df: DataFrame, rules: Rules | None = None) -> DataFrame:
     """Each row with its category's rules, or the generic ones, as struct r; the rules are a few dozen rows at most."""
     table = category_table(df.sparkSession, rules)
+    names = [n["name"] for n in table.select("name").collect()]
     r = table.select(F.col("name").alias("__category"), F.struct(*table.columns).alias("r"))
-    generic = r.where("__category = ''").select(F.col("r").alias("__generic")).first()["__generic"]
-    d = df.join(F.broadcast(r.where("__category <> ''")), F.col("category") == F.col("__category"), "left")
-    kind = table.schema
-    other = F.struct(*[F.lit(generic[f.name]).cast(f.dataType).alias(f.name) for f in kind])
-    return d.withColumn("r", F.coalesce("r", other)).drop("__category")
+    own = F.when(F.col("category").isin(*names), F.col("category")).otherwise(F.lit(""))
+    return df.withColumn("__category", own).join(F.broadcast(r), "__category").drop("__category")
 
 
 def margins() -> dict[str, Column]:

@@ -9,31 +9,29 @@ from ..functions.text import replace_first, sanitise, stem
 from .mapping import first_of_each_sku
 from .ordering import numbered
 
-#: SKUs are found by an equi-join on their first letters; shorter ones on all they have.
-GRAM = 6
-
 
 def longest_match(files: DataFrame, skus: DataFrame) -> DataFrame:
     """``files(name, seq)`` with the longest of ``skus(sku, article, seq)`` that its stem contains, ties to the first; null without one.
 
-    All grams of a stem meet the SKUs that begin with them; SKUs are compared
-    with case. The first occurrence is replaced by the sanitised article.
+    All substrings of a stem that are as long as some SKU are joined with the
+    whole SKUs, so that what SKUs of one brand share does not matter; SKUs are
+    compared with case. The first occurrence is replaced by the sanitised article.
     """
     skus = first_of_each_sku(skus).where("sku <> ''")
-    lengths = [r[0] for r in skus.select(F.least(F.lit(GRAM), F.length("sku")).alias("n")).distinct().collect()]
-    keyed = skus.select(F.col("sku"), F.col("article"), F.col("seq").alias("sku_seq"), F.substring("sku", 1, GRAM).alias("gram"))
+    lengths = [r[0] for r in skus.select(F.length("sku").alias("n")).distinct().collect()]
+    keyed = skus.select("sku", "article", F.col("seq").alias("sku_seq"))
     d = files.withColumn("stem", stem(F.col("name")))
     stems = d.select("stem").distinct()
 
-    def grams(n: int) -> F.Column:
+    def cuts(n: int) -> F.Column:
         places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("stem") - n + 1))
         cut = F.transform(places, lambda i: F.substring(F.col("stem"), i, F.lit(n)))
         return F.when(F.length("stem") >= n, cut).otherwise(F.array().cast("array<string>"))
 
     if not lengths:
         return d.withColumns({"sku": F.lit(None).cast("string"), "new_stem": F.lit(None).cast("string")})
-    each = stems.select("stem", F.explode(F.array_distinct(F.concat(*map(grams, lengths)))).alias("gram"))
-    hits = each.join(keyed, "gram").where(F.contains("stem", "sku"))
+    each = stems.select("stem", F.explode(F.array_distinct(F.concat(*map(cuts, lengths)))).alias("sku"))
+    hits = each.join(keyed, "sku")
     best = hits.groupBy("stem").agg(F.max(F.struct(F.length("sku").alias("n"), (-F.col("sku_seq")).alias("first"), "sku", "article")).alias("b"))
     best = best.select("stem", "b.sku", "b.article")
     d = d.join(best, "stem", "left")
