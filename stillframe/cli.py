@@ -17,7 +17,7 @@ from .engine import Engine, GateBreach, Run
 from .operators import mapping as mp
 from .operators import rename as rn
 from .sources import files, tables
-from .sources.workspace import Checkpoint, RulesChanged, hash_file
+from .sources.workspace import Progress, RulesChanged, hash_file
 
 FORMATS = ("jpg", "jpeg", "png", "tiff", "tif")
 #: Folders of the supplier's delivery and their categories.
@@ -56,9 +56,9 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--output")
     c = sub.add_parser("contact-sheet", help="thumbnails of a folder of outputs")
     for name in ("--input", "--results", "--output"):
-        c.add_argument(name, required=True)
+        c.add_argument(name, name[1:3], required=True)
     for name, value in (("--thumb-size", 100), ("--columns", 20), ("--quality", 90)):
-        c.add_argument(name, type=int, default=value)
+        c.add_argument(name, name[1:3], type=int, default=value)
     g = sub.add_parser("prepare", help="mapping and links for a delivery in folders by category")
     for name in ("--source", "--mapping", "--input"):
         g.add_argument(name, required=True)
@@ -106,16 +106,15 @@ def run(a: argparse.Namespace) -> int:
         return _wrong(f"no output format {a.format}; there are {', '.join(FORMATS)}")
     rules, spark = rules_for(a), session(threads(a))
     rows, issues = tables.load_mapping(spark, a.mapping)
-    for i in issues.limit(100).collect():
+    for i in issues.toLocalIterator():
         log.warning("%s: %s", i.flag, i.message)
     if a.dry_run:
         print(f"dry run: {rows.count()} mapping rows, {issues.count()} issues")
         return 0
     checkpoint = None
     if a.resume or not a.no_checkpoint:
-        path, now = os.path.join(a.output, ".checkpoint.json"), hash_file(a.rules)
         try:
-            checkpoint = Checkpoint.load(path, now, a.force) if a.resume else Checkpoint(path, now)
+            checkpoint = Progress(spark, os.path.join(os.path.abspath(a.output), ".checkpoint"), hash_file(a.rules), a.resume, a.force)
         except RulesChanged as e:
             return _wrong(str(e))
     references = tuple(os.path.getmtime(p) for p in (a.rules, a.mapping)) if a.incremental else ()
@@ -125,6 +124,8 @@ def run(a: argparse.Namespace) -> int:
     except GateBreach as e:
         print(str(e), file=sys.stderr)
         done, code = Run(e.results, e.results.count(), 0.0), 2
+    if checkpoint is not None:
+        checkpoint.export(os.path.join(a.output, ".checkpoint.json"))
     reports.review_manifest(done.results, os.path.join(a.review, "manifest.json"))
     print(reports.console(reports.statistics(done)))
     if a.stats:
@@ -199,7 +200,8 @@ def rename(a: argparse.Namespace) -> int:
     found = files.listing(spark, a.input).where(F.col("ext").isin("jpg", "jpeg", "png", "webp", "tif", "tiff")).withColumn("seq", F.xxhash64("name"))
     matched = rn.longest_match(found.select("name", "seq", "path", "ext"), tables.load_masters(spark, a.masters))
     counts = rn.summary(matched, a.skip_unmatched).first().asDict()
-    counts |= {"written": 0, "there": 0}
+    counts |= {"written": 0, "there": 0, "errors": 0}
+    wrong: list[str] = []
     if not a.dry_run:
         os.makedirs(a.output, exist_ok=True)
     for r in matched.orderBy("name").toLocalIterator():
@@ -209,10 +211,16 @@ def rename(a: argparse.Namespace) -> int:
         if os.path.exists(target) and not a.overwrite:
             counts["there"] += 1
         elif not a.dry_run:
-            shutil.copy2(os.path.join(a.input, r.name), target)
-            counts["written"] += 1
+            try:
+                shutil.copy2(os.path.join(a.input, r.name), target)
+                counts["written"] += 1
+            except OSError as e:
+                counts["errors"] += 1
+                wrong += [f"{r.name}: {e}"] if len(wrong) < 20 else []
     print(", ".join(f"{k} {v}" for k, v in counts.items()))
-    return 0
+    for line in wrong:  # the first 20
+        print(f"error: {line}", file=sys.stderr)
+    return 1 if counts["errors"] else 0
 
 
 def main(args: list[str] | None = None) -> int:

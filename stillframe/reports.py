@@ -62,11 +62,13 @@ def _page(title: str, body: str) -> str:
 
 
 def console(s: dict) -> str:
-    g, p = s["general"], s["performance"]
-    lines = [f"{g['total_discovered']} images found, {g['total_attempted']} processed: {g['ok']} ok, {g['recovered']} recovered, {g['flagged']} flagged, {g['failed']} failed"]
-    lines += [f"  {c:<26}{v['total']:>6} images {v['success_rate']:>7.1%}" for c, v in s["by_category"].items()]
+    g, p, q = s["general"], s["performance"], s["quality"]
+    lines = [f"{g['total_discovered']} images found, {g['total_attempted']} processed: {g['total_ok']} ok, {g['total_recovered']} recovered, {g['total_flagged']} flagged, {g['total_failed']} failed"]
+    lines += [f"  {c:<26}{v['total']:>6} images {v['success_rate']:>7.1%}  ({v['ok']} ok, {v['recovered']} recovered, {v['flagged']} flagged, {v['failed']} failed)" for c, v in s["by_category"].items()]
     lines += [f"  {f:<26}{n:>6}" for f, n in sorted(s["by_flag"].items(), key=lambda x: (-x[1], x[0]))]
-    return "\n".join([*lines, f"{p['total_time_s']:.1f} s, {p['processing_avg_s']:.2f} s an image"])
+    lines += [f"fill {q['avg_fill_ratio']:.3f} on average, from {q['min_fill_ratio']:.3f} to {q['max_fill_ratio']:.3f}, median {q['fill_ratio_p50']:.3f}"]
+    lines += [f"fallback tried {p['fallback_invocation_count']} times ({p['fallback_invocation_rate']:.1%}), {p['avg_fallback_time_s']:.2f} s each; crops {p['primary_crop_avg_s']:.2f} s, 95 % within {p['primary_crop_p95_s']:.2f} s"]
+    return "\n".join([*lines, f"{p['total_time_s']:.1f} s, {p['avg_per_image_s']:.2f} s an image, 95 % within {p['per_image_p95_s']:.2f} s"])
 
 
 def html_report(run: Run, path: str) -> None:
@@ -74,8 +76,9 @@ def html_report(run: Run, path: str) -> None:
     body = "".join(f"<h2>{k.replace('_', ' ')}</h2>" + _table(["", "value"], [[a, b] for a, b in v.items()]) for k, v in s.items() if k != "by_category")
     heads = ["category", *next(iter(s["by_category"].values()), {})]
     body += "<h2>by category</h2>" + _table(heads, [[c, *v.values()] for c, v in s["by_category"].items()])
-    rows = [[r.name, r.category, r.status, ", ".join(r.flag_descriptions)] for r in review_rows(run.results).orderBy("seq").toLocalIterator()]
-    _write(path, _page("Run report", body + "<h2>to review</h2>" + _table(["image", "category", "status", "why"], rows)))
+    rows = [[r.name, r.category, r.status, ", ".join(r.flag_descriptions), "tried" if r.fallback_attempted else "no"] for r in review_rows(run.results).orderBy("seq").toLocalIterator()]
+    summary = "<pre>" + escape(console(s).split("\n", 1)[0]) + "</pre>"
+    _write(path, _page("Run report", summary + body + "<h2>to review</h2>" + _table(["image", "category", "status", "why", "fallback"], rows)))
 
 
 def diff_report(before: DataFrame, after: DataFrame) -> dict:

@@ -32,3 +32,6 @@ BOX = "struct<x:int,y:int,w:int,h:int>"
 METRICS = f"struct<fill_ratio:double,crop_area_ratio:double,margin_px:int,object_bbox:{BOX},crop_bbox:{BOX},object_pixel_count:long,component_count:int>"
 RESULTS = f"name string, source_path string, status string, category string, flags array<string>, proposed_filenames array<string>, output_names array<string>, background_type string, source_width int, source_height int, source_size_bytes long, crop_metrics {METRICS}, fallback_metrics {METRICS}, processing_time_s double, crop_time_s double, fallback_time_s double, fallback_attempted boolean, error_message string, seq long"
 RESULT_JSON = "struct<status:string,category:string,flags:array<string>,fallback_attempted:boolean,fill_ratio:double,crop_area_ratio:double,component_count:int,background_type:string>"
+
+#: An image that a run has handled.
+DONE = "name string, status string, outputs array<string>, flags array<string>"

@@ -11,7 +11,7 @@ from stillframe import cli, config, reports
 from stillframe.engine import Engine, GateBreach, statistics
 from stillframe.kernels import codec
 from stillframe.sources import files, tables
-from stillframe.sources.workspace import Checkpoint, RulesChanged, hash_file
+from stillframe.sources.workspace import Progress, RulesChanged, hash_file
 
 
 def white(y0=None, y1=None, x0=None, x1=None, value=40, size=200):
@@ -64,9 +64,11 @@ def test_every_outcome(spark, place):
     assert got["good.png"].output_names == ["1-a.jpg", "2-b.jpg"] and sorted(os.listdir(place["out"])) == ["1-a.jpg", "2-b.jpg", "3-a.jpg", "6-a.jpg"]
     assert got["ball.png"].flags == ["crop_category_inconsistent"] and got["stray.png"].flags == ["missing_mapping"] and got["bad.png"].flags == ["image_read_error"]
     assert got["empty.png"].fallback_attempted and {"mask_too_fragmented", "no_object_found"} <= set(got["empty.png"].flags)
-    assert {"empty.png", "stray.png", "empty_review.png"} <= set(os.listdir(place["review"]))
+    assert {"empty.png", "stray.png", "empty_preview.png"} <= set(os.listdir(place["review"]))
     s = statistics(r)
-    assert s["general"] == {"total_discovered": 6, "total_attempted": 6, "ok": 2, "flagged": 2, "failed": 1, "recovered": 1}
+    assert s["general"] == {"total_discovered": 6, "total_attempted": 6, "total_ok": 2, "total_flagged": 2, "total_failed": 1, "total_recovered": 1}
+    assert {"general", "by_background_type", "by_category", "by_flag", "quality", "mapping", "performance"} == set(s) and {"avg_fill_ratio", "fill_ratio_p90", "avg_crop_area_ratio"} <= set(s["quality"])
+    assert set(s["mapping"]) == {"missing_mapping_count", "naming_conflict_count"} and {"per_image_p95_s", "fallback_invocation_rate", "avg_fallback_time_s"} <= set(s["performance"])
     for f, name in ((reports.stats_json, "s.json"), (reports.html_report, "r.html")):
         f(r, str(place["dir"] / name))
     reports.results_json(r.results, str(place["dir"] / "r.json"))
@@ -109,19 +111,24 @@ def test_incremental_and_force(spark, place):
 
 
 def test_checkpoint(spark, place, tmp_path):
-    path = str(tmp_path / "cp.json")
-    c = Checkpoint.load(path, "h1")
-    assert not c.completed
+    path = str(tmp_path / "cp")
+    c = Progress(spark, path, "h1")
+    assert c.table().isEmpty()
     save(place["in"], a=white(60, 140, 60, 140), b=white(60, 140, 60, 140))
     mapping_file(place["map"], "a,1,x,BAG", "b,2,x,BAG")
     assert len(by_name(run(spark, place, checkpoint=c, limit=1))) == 1
-    again = Checkpoint.load(path, "h1")
-    assert again.is_done("a.png") and again.completed["a.png"].status == "ok"
+    again = Progress(spark, path, "h1")
+    assert again.started_at == c.started_at and [(r.name, r.status, len(r.outputs)) for r in again.table().collect()] == [("a.png", "ok", 1)]
     assert list(by_name(run(spark, place, checkpoint=again))) == ["b.png"]
     with pytest.raises(RulesChanged):
-        Checkpoint.load(path, "h2")
-    assert len(Checkpoint.load(path, "h2", force=True).completed) == 2
-    assert hash_file(path) == hash_file(path)
+        Progress(spark, path, "h2")
+    forced = Progress(spark, path, "h2", force=True)
+    assert forced.table().count() == 2
+    forced.export(str(tmp_path / "cp.json"))
+    told = json.load(open(tmp_path / "cp.json"))
+    assert told["total_completed"] == 2 and told["config_hash"] == "h1" and told["completed"]["a.png"]["status"] == "ok"
+    assert Progress(spark, path, "h3", resume=False).table().isEmpty()
+    assert hash_file(str(tmp_path / "cp.json")) == hash_file(str(tmp_path / "cp.json"))
 
 
 def test_gate(spark, place):
@@ -196,6 +203,7 @@ def test_command_line(spark, place):
     r = str(p["dir"] / "r.json")
     assert cli.main(["diff", "--before", r, "--after", r, "--output", str(p["dir"] / "d.html")]) == 0 and cli.main(["diff", "--before", "/no", "--after", r]) == 1
     assert cli.main(["contact-sheet", "--input", p["out"], "--results", r, "--output", str(p["dir"] / "c.png"), "--columns", "3"]) == 0
+    assert cli.main(["contact-sheet", "-i", p["out"], "-r", r, "-o", str(p["dir"] / "c2.png"), "-t", "40", "-c", "2", "-q", "80"]) == 0
 
 
 def test_gate_exit_code(spark, place):
