@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.flags import category_or_unknown, described
 from ..schema import BAD, FAILED, FLAGGED, OK, RECOVERED
+from .ordering import percentiles
 
 STATUSES = (OK, FLAGGED, FAILED, RECOVERED)
 
@@ -19,11 +20,6 @@ def _mean(value: Column, places: int = 4) -> Column:
     return F.round(F.coalesce(F.avg(value), F.lit(0.0)), places)
 
 
-def _percentile(value: Column, p: float, places: int = 4) -> Column:
-    """Exact, with linear interpolation; 0 of nothing."""
-    return F.round(F.coalesce(F.percentile(value, p), F.lit(0.0)), places)
-
-
 def general(results: DataFrame) -> DataFrame:
     return results.agg(F.count(F.lit(1)).alias("total_attempted"), *[_count(s).alias(s) for s in STATUSES])
 
@@ -49,10 +45,11 @@ def quality(results: DataFrame) -> DataFrame:
     """Fill ratios of images that have one, and the crop area over the same images."""
     has = F.col("fill_ratio") > 0
     fill, area = F.when(has, F.col("fill_ratio")), F.when(has, F.col("crop_area_ratio"))
-    zero = F.lit(0.0)
+    zero, shares = F.lit(0.0), (10, 50, 90)
+    at = percentiles(results, fill, [p / 100 for p in shares])
     return results.agg(
         _mean(fill).alias("fill_avg"), F.round(F.coalesce(F.min(fill), zero), 4).alias("fill_min"), F.round(F.coalesce(F.max(fill), zero), 4).alias("fill_max"),
-        *[_percentile(fill, p / 100).alias(f"fill_p{p}") for p in (10, 50, 90)], _mean(area).alias("crop_area_avg"),
+        *[F.round(F.lit(x), 4).alias(f"fill_p{p}") for p, x in zip(shares, at)], _mean(area).alias("crop_area_avg"),
     )
 
 
@@ -65,9 +62,10 @@ def performance(results: DataFrame) -> DataFrame:
     """Times of all images, of crops that took any, and of fallbacks that were tried."""
     crop = F.when(F.col("crop_time_s") > 0, F.col("crop_time_s"))
     tried = F.count_if(F.col("fallback_attempted"))
+    (p95,), (crop_p95,) = (percentiles(results, c, [0.95]) for c in (F.col("processing_time_s"), crop))
     return results.agg(
-        _mean(F.col("processing_time_s")).alias("processing_avg_s"), _percentile(F.col("processing_time_s"), 0.95).alias("processing_p95_s"),
-        _mean(crop).alias("crop_avg_s"), _percentile(crop, 0.95).alias("crop_p95_s"),
+        _mean(F.col("processing_time_s")).alias("processing_avg_s"), F.round(F.lit(p95), 4).alias("processing_p95_s"),
+        _mean(crop).alias("crop_avg_s"), F.round(F.lit(crop_p95), 4).alias("crop_p95_s"),
         _mean(F.when(F.col("fallback_attempted"), F.col("fallback_time_s"))).alias("fallback_avg_s"), tried.alias("fallback_count"),
         F.round(tried / F.greatest(F.lit(1), F.count(F.lit(1))), 4).alias("fallback_rate"),
     )

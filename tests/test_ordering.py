@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from stillframe.operators.ordering import _range_of, numbered, running_counts
+from stillframe.operators.ordering import _range_of, numbered, percentiles, running_counts
 
 
 def table(spark, n=3000, keys=400):
@@ -54,3 +54,12 @@ def test_ranges_are_even_whatever_the_keys_share(spark):
         assert max(sizes) <= 4 * sum(sizes) / 64 and len(sizes) > 32
     got = {r.i: r.rn for r in numbered(d, ["name"]).collect()}
     assert got[20_002] == 1 and got[20_000] == 2 and got[20_001] == 20_003 and all(got[i] == i + 3 for i in range(20_000))
+
+
+def test_percentiles_like_the_aggregate(spark):
+    rng = random.Random(9)
+    for values in ([], [None], [2.5], [1.0, 2.0], [rng.random() for _ in range(2001)] + [None] * 5, [float(rng.randrange(7)) for _ in range(500)], [0.5] * 300):
+        d = spark.createDataFrame([(v,) for v in values], "v double")
+        shares = [0.0, 0.1, 0.333, 0.5, 0.95, 1.0]
+        want = d.agg(F.percentile("v", shares).alias("p")).first()["p"] or [0.0] * len(shares)
+        assert all(abs(a - b) < 1e-12 for a, b in zip(percentiles(d, F.col("v"), shares), want))
