@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Rows of text handed to Python at a time are cut into pieces of about so many characters.
 PIECE_CHARS = 2_000_000
+#: Rows of a batch that are made Python objects at a time.
+ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,8 +80,9 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[[Ite
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def source() -> Iterator[tuple]:
-            for b in batches:
-                yield from zip(*(c.to_pylist() for c in b.columns))
+            for whole in batches:
+                for at in range(0, whole.num_rows, ROWS):
+                    yield from zip(*(c.to_pylist() for c in whole.slice(at, ROWS).columns))
 
         held: list[tuple] = []
         size = 0

@@ -31,7 +31,7 @@ from .common import Scratch, map_rows, with_rows
 WINDOW, ANCHOR = 35, 18
 RUNS = WINDOW - ANCHOR + 1
 #: Words of one document that are held as hashes at a time; and words whose hashes a worker remembers.
-CHUNK, REMEMBERED = 1 << 20, 1 << 20
+CHUNK, REMEMBERED = 1 << 20, 1 << 19
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
