@@ -31,8 +31,8 @@ def brute_score(texts, network, sent=None):
     n = Counter(w for t in own for w in t)
     signed = lambda w: (h := xxhash.xxh64_intdigest(w, 1)) - (1 << 64) * (h >> 63)
     rank = {w: i for i, w in enumerate(sorted(n, key=lambda w: (-n[w], signed(w))))}
-    kind = {w: r if (r := rank[w]) < lm.OWN else lm.OWN + xxhash.xxh64_intdigest(w[-2:], 2) % (lm.CLASSES - lm.OWN) for w in n}
-    symbol = {w: 1 + r if (r := rank[w]) < lm.OWN_SYMBOLS else 1 + lm.OWN_SYMBOLS + xxhash.xxh64_intdigest(w[-3:], 2) % (lm.SYMBOLS - lm.OWN_SYMBOLS - 1) for w in n}
+    kind = {w: r if (r := rank[w]) < lm.OWN else lm.OWN + xxhash.xxh64_intdigest(w[-3:], 2) % 1024 % (lm.CLASSES - lm.OWN) for w in n}
+    symbol = {w: 1 + r if (r := rank[w]) < lm.OWN_SYMBOLS else 1 + lm.OWN_SYMBOLS + xxhash.xxh64_intdigest(w[-3:], 2) % 1024 for w in n}
     tokens, words = Counter(), Counter(kind.values())
     for w, c in n.items():
         tokens[kind[w]] += c
@@ -58,7 +58,7 @@ def test_scores_like_brute_force(spark, tiny, monkeypatch):
         got = {r.id: r for r in masked_lm.score(docs).collect()}
         _, counts = masked_lm.count_words(docs, "text", Scratch(spark, "test"))
         assert len(counts.n) <= sent and len(got) == len(rows)
-        network = masked_lm.fit(docs, "text", counts)
+        network = masked_lm.average(masked_lm.encode(docs.selectExpr("doc_id as row", "doc_id as id", "text"), counts), counts)
         for r, want in zip(rows, brute_score([r.text for r in rows], network)):
             assert got[r.doc_id].n_tokens == len((r.text or "").split()) or "\x1c" in r.text
             assert got[r.doc_id].log_likelihood == pytest.approx(want, rel=1e-3, abs=1e-3)
@@ -74,13 +74,16 @@ def test_both_factors_are_distributions(spark):
     around = np.random.default_rng(1).integers(0, masked_lm.SYMBOLS, (50, 4))
     p = np.exp(network.log_p(around)[1])
     assert p.sum(1) == pytest.approx(np.ones(50), abs=1e-4)
-    kinds = np.arange(50) % masked_lm.CLASSES
-    assert network.log_p_of(around, kinds) == pytest.approx(np.log(p[np.arange(50), kinds]), abs=1e-4)
+    flat, at, _ = masked_lm._laid_out([np.arange(30, dtype=np.int16), np.arange(5, 25, dtype=np.int16)])
+    own, kinds = masked_lm._around(flat, at), np.arange(50) % masked_lm.CLASSES
+    assert own[0].tolist() == [0, 0, 1, 2] and own[49].tolist() == [22, 23, 0, 0]
+    assert network.log_p_of(flat, at, kinds) == pytest.approx(network.log_p(own)[1][np.arange(50), kinds], abs=1e-4)
     network.o *= 1000  # too large to exponentiate as they are
-    assert np.isfinite(network.log_p_of(around, kinds)).all()
+    assert np.isfinite(network.log_p_of(flat, at, kinds)).all()
     v = masked_lm.Vocabulary(counts)
     v.numbers(" ".join(texts))
-    of, n = v.kind[: len(v)], v.n[: len(v)]
+    v.settle()
+    of, n = counts.kind[v.symbol], v.n
     for c in range(masked_lm.CLASSES):
         assert counts.tokens[c] == n[of == c].sum() and counts.words[c] == (of == c).sum()
         total = counts.tokens[c] + masked_lm.UNSEEN * (counts.words[c] + 1)
