@@ -201,12 +201,11 @@ def test_long_documents_in_pieces(spark, monkeypatch):
 
 
 def brute_kept_ids(rows, similarity=0.8):
-    """Least ids of the groups by three bits or by shared five-word shingles."""
-    sets, prints, parent = {}, {}, {}
+    """Least ids of the groups by shared five-word shingles, the stage's only rule; texts without words are one group."""
+    sets, parent = {}, {}
     for i, t in rows:
         w = (t or "").encode().lower().split()
         sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-        prints[i] = simhash.fingerprint(t, 5) & (2**64 - 1)
 
     def root(x):
         while parent.setdefault(x, x) != x:
@@ -218,7 +217,7 @@ def brute_kept_ids(rows, similarity=0.8):
         root(a)
         for b in ids[k + 1 :]:
             both = len(sets[a] & sets[b])
-            if (prints[a] ^ prints[b]).bit_count() <= 3 or (both and both >= similarity * (len(sets[a]) + len(sets[b]) - both)):
+            if sets[a] == sets[b] or (both and both >= similarity * (len(sets[a]) + len(sets[b]) - both)):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {root(i) for i in ids}
