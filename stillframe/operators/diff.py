@@ -65,3 +65,8 @@ def largest_fill_changes(rows: DataFrame, n: int = 20, over: float = CONSOLE_FIL
 
 def first_of_change(rows: DataFrame, change: str, n: int = 30) -> DataFrame:
     return rows.where(F.col("change") == change).orderBy("name").limit(n)
+
+
+def categories(before: DataFrame, after: DataFrame) -> DataFrame:
+    """All categories of either run."""
+    return before.select("category").union(after.select("category")).distinct()

@@ -93,7 +93,7 @@ def diff_first_improved(s, d):
 
 @query
 def diff_categories_union(s, d):
-    return r.spark(s, d, r.BEFORE).select("category").union(_after(s, d).select("category")).distinct()
+    return diff.categories(r.spark(s, d, r.BEFORE), _after(s, d))
 
 
 @query

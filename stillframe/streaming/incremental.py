@@ -37,8 +37,13 @@ def process_new(spark: SparkSession, folder: str, rows: DataFrame, rules: Rules,
         out = out.withColumns({"status": F.coalesce("status", F.lit("flagged")), "flags": F.coalesce("flags", F.array(F.lit("missing_mapping")))})
         out.write.mode("overwrite").parquet(f"{results_path}/batch={number}")
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-    new_files(spark, folder).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    few = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(few)
+    spark.conf.set(few, "8")  # rows of pixels are large
+    try:
+        new_files(spark, folder).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(few, before)
 
 
 def monitored(results: DataFrame) -> DataFrame:
