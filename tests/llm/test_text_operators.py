@@ -259,6 +259,51 @@ def test_statistics_of_the_query(spark, small):
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and not (r.base_failed and r.kept)
 
 
+def brute_features(text):
+    """The statistics that rules test, from the text alone."""
+    n, chars, symbols, dup, repeats = brute_counts(text)
+    words, lines = text.encode().split(), [x for x in text.split("\n") if x.encode().split()]
+    share = lambda a, b: a / max(b, 1)
+    return {
+        "words": float(n), "symbols_per_word": share(symbols, n), "repeat_share": share(repeats, n), "dup_line_share": share(dup, len(lines)),
+        "upper_share": share(sum("A" <= c <= "Z" for c in text), chars), "digit_share": share(sum("0" <= c <= "9" for c in text), chars),
+        "marks_per_word": share(sum(c in "!?;:" for c in text), n), "distinct_share": share(len(set(words)), n),
+        "word_length": share(chars, n), "longest_word": float(max(map(len, words), default=0)),
+    }
+
+
+def test_verdicts_of_the_query_like_brute_force(spark, small):
+    """kept, document by document: the base rules, then the first learned rule all of whose tests hold."""
+    read = lambda t: spark.read.parquet(f"{small}/{t}.parquet")
+    _, rules = quality_rules.judge(read("documents"), read("labels"))
+    got, rejected = {r.doc_id: r for r in queries.op5_quality_rules(spark, small).collect()}, 0
+    assert rules
+    for r in read("documents").collect():
+        x = brute_features(r.text or "")
+        base = x["words"] < 50 or 100 * x["repeat_share"] > 50
+        hit = any(all(x[name] <= cut if op == "<=" else x[name] > cut for name, op, cut in rule.tests) for rule in rules)
+        assert (got[r.doc_id].base_failed, got[r.doc_id].kept) == (base, not base and not hit)
+        rejected += not base and hit
+    assert rejected
+
+
+def test_first_test_of_a_rule_like_exhaustive_search():
+    rng = np.random.default_rng(12)
+    for _ in range(20):
+        x = {k: rng.integers(0, 9, 60).astype(float) for k in "abc"}
+        bad = (x["a"] > 5) & (rng.random(60) < 0.8) | (rng.random(60) < 0.1)
+        base, best = math.log2(bad.mean()), 0.0
+        for v in x.values():
+            for cut in sorted(set(v))[:-1]:
+                for hit in (v <= cut, v > cut):
+                    p, n = (bad & hit).sum(), (~bad & hit).sum()
+                    best = max(best, p * (math.log2(p / (p + n)) - base) if p else 0.0)
+        first = quality_rules.Rule(quality_rules._grow(x, bad, 1).tests)
+        hit = first.covers(x)
+        p, n = (bad & hit).sum(), (~bad & hit).sum()
+        assert p * (math.log2(p / (p + n)) - base) == pytest.approx(best)
+
+
 def test_counts_of_odd_texts():
     for t in ("", " ", "a", "a b c a b c", "x\n\nx\n x\n", "é\u00a0ü # |", "a b c d a b c e", "n " * 50):
         assert quality_rules.text_counts(t)[:5] == brute_counts(t), t
