@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import re
+import string
+import sys
+import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,11 +31,42 @@ def suffix(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"(?s).\.([^.]+)$", 1))
 
 
+def _class(points: list[int]) -> str:
+    """A character class of Java's regular expressions, by ranges."""
+    begins = [p for i, p in enumerate(points) if not i or points[i - 1] != p - 1]
+    ends = [p for i, p in enumerate(points) if i + 1 == len(points) or points[i + 1] != p + 1]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(begins, ends)) + "]"
+
+
+@cache
+def _composing() -> str:
+    """Matches an ASCII letter that composition (NFC) takes up into one with a mark.
+
+    A mark reaches its letter over marks of other combining classes only.
+    """
+    classes: dict[int, list[int]] = {}
+    for p in range(sys.maxunicode + 1):
+        if k := unicodedata.combining(chr(p)):
+            classes.setdefault(k, []).append(p)
+    found = []
+    for k, marks in classes.items():
+        letters: dict[str, list[int]] = {}
+        for m in marks:
+            taken = "".join(b for b in string.ascii_letters if unicodedata.normalize("NFC", b + chr(m))[0] != b)
+            if taken:
+                letters.setdefault(taken, []).append(m)
+        others = _class(sorted(p for c, points in classes.items() if c != k for p in points))
+        found += [f"[{b}](?={others}*{_class(m)})" for b, m in letters.items()]
+    return "|".join(found)
+
+
 def sanitise(c: Column) -> Column:
     """Only ASCII letters, digits, dots and single hyphens; runs of white space and underscores become a hyphen.
 
-    Expects composed characters (NFC): a base letter with a combining mark keeps the letter.
+    Decomposed characters count as composed ones (NFC): a letter with a mark goes as a whole.
     """
+    c = F.translate(c, "\u212a", "K")  # the sign for kelvin, the one such character that composes to an ASCII letter
+    c = F.when(F.rlike(c, F.lit(r"[a-zA-Z]\p{M}")), F.regexp_replace(c, _composing(), "")).otherwise(c)
     c = F.regexp_replace(c, r"(?U)[\s_]+", "-")
     c = F.regexp_replace(c, r"[^a-zA-Z0-9\-.]", "")
     c = F.regexp_replace(c, r"-{2,}", "-")

@@ -183,7 +183,7 @@ ORACLE: dict[str, str] = {
     "discover_limit": IMAGES + f"SELECT name FROM (SELECT DISTINCT name FROM images WHERE {_IS_IMAGE}) ORDER BY lower(name), name LIMIT {q.LIMIT}",
     "dedup_by_stem_priority": IMAGES + f", p AS (SELECT {stem('name')} AS stem, name, seq, CAST(CASE lower(regexp_extract(name, '\\.([^.]+)$', 1)) WHEN 'png' THEN 0 WHEN 'tif' THEN 1 WHEN 'tiff' THEN 1 WHEN 'jpg' THEN 2 WHEN 'jpeg' THEN 2 ELSE 9 END AS BIGINT) AS priority FROM images) SELECT stem, name, seq, priority FROM p QUALIFY row_number() OVER (PARTITION BY stem ORDER BY priority, seq) = 1",
     "dedup_master_sku": MAPPING + "SELECT sku_key AS sku, store_article AS article, seq FROM m QUALIFY row_number() OVER (PARTITION BY sku_key ORDER BY seq) = 1",
-    "sanitize_filename": "SELECT p_partkey AS seq, " + safe("concat('_', p_name, ' ', p_brand, '  å_', p_type, '--')") + " AS safe FROM part",
+    "sanitize_filename": "SELECT p_partkey AS seq, " + safe("nfc_normalize(concat('_', p_name, ' ', p_brand, '  å_', p_type, 'a\u0323\u030a e\u0316\u0301x\u0301-\u212a\u0327--'))") + " AS safe FROM part",
     "safe_name_uniquify": f"""WITH s AS (SELECT DISTINCT CASE WHEN p_partkey % 50 = 0 THEN concat('ö', substring('ööööööö', 1, CAST(p_partkey % 7 AS INT))) WHEN p_partkey % 2 = 0 THEN concat(p_name, ' ', p_size) ELSE concat(p_name, '_', p_size) END AS stem FROM part),
       n AS (SELECT stem, row_number() OVER (ORDER BY stem) - 1 AS idx FROM s), p AS (SELECT *, lpad(CAST(idx AS VARCHAR), CAST(greatest(4, length(CAST(idx AS VARCHAR))) AS INTEGER), '0') AS num FROM n),
       o AS (SELECT *, coalesce(nullif({safe('stem')}, ''), 'image-' || num) AS plain FROM p)

@@ -202,7 +202,7 @@ def dedup_master_sku(s, d):
 
 @query
 def sanitize_filename(s, d):
-    names = r.spark(s, d, "SELECT p_partkey AS seq, concat('_', p_name, ' ', p_brand, '  å_', p_type, '--') AS name FROM {part}")
+    names = r.spark(s, d, "SELECT p_partkey AS seq, concat('_', p_name, ' ', p_brand, '  å_', p_type, 'a\u0323\u030a e\u0316\u0301x\u0301-\u212a\u0327--') AS name FROM {part}")
     return names.select("seq", sanitise(F.col("name")).alias("safe"))
 
 
