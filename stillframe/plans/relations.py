@@ -61,6 +61,18 @@ SELECT CAST(a.n_nationkey AS BIGINT) AS x, CAST(b.n_nationkey AS BIGINT) AS y,
   CASE WHEN a.n_nationkey BETWEEN 5 AND 14 AND b.n_nationkey BETWEEN 8 AND 19 THEN 40 ELSE 255 END AS value
 FROM {nation} a JOIN {nation} b ON a.n_nationkey * 0 = b.n_nationkey * 0"""
 
+SIDE = 32
+#: Pictures of SIDE x SIDE pixels, one for each part: three rectangles of one colour on white, some see-through but for these.
+PICTURES = """
+SELECT CAST(p_partkey AS BIGINT) AS part, p_partkey % 3 = 0 AS see_through,
+  CAST(CASE WHEN p_partkey % 4 = 0 THEN 225 + p_size % 31 ELSE (p_size * 5 + p_partkey) % 256 END AS BIGINT) AS red,
+  CAST(CASE WHEN p_partkey % 4 = 0 THEN 225 + (p_size + p_partkey) % 31 ELSE (p_size * 3 + length(p_name)) % 256 END AS BIGINT) AS green,
+  CAST(CASE WHEN p_partkey % 4 = 0 THEN 240 ELSE (p_partkey * 11) % 256 END AS BIGINT) AS blue,
+  CAST(2 + p_size % 14 AS BIGINT) AS x1, CAST(1 + (p_partkey * 7) % 17 AS BIGINT) AS y1, CAST(1 + (p_partkey + p_size) % 9 AS BIGINT) AS w1, CAST(1 + (p_size * 3) % 10 AS BIGINT) AS h1,
+  CAST((p_partkey * 5) % 22 AS BIGINT) AS x2, CAST((p_size * 7) % 20 AS BIGINT) AS y2, CAST(1 + p_size % 8 AS BIGINT) AS w2, CAST(1 + p_partkey % 11 AS BIGINT) AS h2,
+  CAST(3 + (p_partkey * 13 + p_size) % 24 AS BIGINT) AS x3, CAST((p_partkey * 3) % 26 AS BIGINT) AS y3, CAST(1 + (p_partkey * 3) % 5 AS BIGINT) AS w3, CAST(1 + length(p_type) % 6 AS BIGINT) AS h3
+FROM {part}"""
+
 
 def _flags(text: str, duck: bool) -> str:
     def write(m: re.Match) -> str:

@@ -5,8 +5,11 @@ import os
 import duckdb
 import pytest
 
-from stillframe.plans.oracle import ORACLE
-from stillframe.plans.queries import QUERIES
+from stillframe.plans import kernel_oracle, kernel_queries
+from stillframe.plans.oracle import ORACLE as RELATIONAL
+from stillframe.plans.queries import QUERIES as OPERATORS
+
+ORACLE, QUERIES = {**RELATIONAL, **kernel_oracle.ORACLE}, {**OPERATORS, **kernel_queries.QUERIES}
 
 
 def plain(v):
