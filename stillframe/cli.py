@@ -114,7 +114,7 @@ def run(a: argparse.Namespace) -> int:
     checkpoint = None
     if a.resume or not a.no_checkpoint:
         try:
-            checkpoint = Progress(spark, os.path.join(os.path.abspath(a.output), ".checkpoint"), hash_file(a.rules), a.resume, a.force)
+            checkpoint = Progress(spark, os.path.join(os.path.abspath(a.output), ".checkpoint"), hash_file(spark, os.path.abspath(a.rules)), a.resume, a.force)
         except RulesChanged as e:
             return _wrong(str(e))
     references = tuple(os.path.getmtime(p) for p in (a.rules, a.mapping)) if a.incremental else ()

@@ -60,6 +60,11 @@ def _composing() -> str:
     return "|".join(found)
 
 
+def digest(content: Column) -> Column:
+    """SHA-256 of bytes, in lowercase hex digits."""
+    return F.sha2(content, 256)
+
+
 def sanitise(c: Column) -> Column:
     """Only ASCII letters, digits, dots and single hyphens; runs of white space and underscores become a hyphen.
 

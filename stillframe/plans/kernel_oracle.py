@@ -92,4 +92,18 @@ sums AS (SELECT part, count(*) AS n, sum(3 * x + 7 * y) AS places FROM pixels GR
 all_of AS (SELECT part, CAST({" + ".join(f"255 * {everywhere(r.SIDE, c)} + ({v} - 255) * ({1 + c} * n + places)" for c, v in enumerate(("red", "green", "blue")))} + CASE WHEN see_through THEN 255 * (4 * n + places) ELSE 0 END AS BIGINT) AS v FROM p JOIN sums USING (part))
 SELECT part, v AS png, v AS tiff, CAST({r.SIDE} AS BIGINT) AS jpg_height, CAST({r.SIDE} AS BIGINT) AS jpg_width FROM all_of"""
 
-ORACLE = {"kernel_masks": MASKS, "kernel_morphology": MORPHOLOGY, "kernel_components": COMPONENTS, "kernel_canvas": CANVAS, "kernel_encode": ENCODE}
+_parts = "greatest(0, least(255, floor(CAST(embedding[i] AS DOUBLE) * 128) + 128))"
+LAB_DISTANCE = f"""WITH v AS (SELECT vec_id, (i - 1) // 3 AS pixel, CASE (i - 1) % 3 WHEN 0 THEN pow({_parts} - 255, 2) ELSE 4 * pow({_parts} - 128, 2) END AS q FROM embeddings, range(1, 64) t(i)),
+d AS (SELECT vec_id, pixel, sum(q) AS q FROM v GROUP BY ALL)
+SELECT vec_id, CAST(sum(q) AS BIGINT) AS quarters, count(*) FILTER (WHERE q > 4 * 144) AS off_white FROM d GROUP BY vec_id"""
+
+ORACLE = {
+    "kernel_masks": MASKS,
+    "kernel_morphology": MORPHOLOGY,
+    "kernel_components": COMPONENTS,
+    "kernel_canvas": CANVAS,
+    "kernel_encode": ENCODE,
+    "lab_distance_vectors": LAB_DISTANCE,
+    "pixel_table_bbox": r.ctes("pixels") + "SELECT min(x) AS x, min(y) AS y, max(x) - min(x) + 1 AS w, max(y) - min(y) + 1 AS h, count(*) AS pixels FROM pixels WHERE value < 200",
+    "pixel_table_border_white": r.ctes("pixels") + ", e AS (SELECT max(x) AS mx, max(y) AS my FROM pixels), s AS (SELECT value, CAST(x < 5 AS INT) + CAST(x > mx - 5 AS INT) + CAST(y < 5 AS INT) + CAST(y > my - 5 AS INT) AS n FROM pixels, e) SELECT CAST(sum(n) AS BIGINT) AS border, CAST(sum(CASE WHEN value > 250 THEN n ELSE 0 END) AS BIGINT) AS white FROM s",
+}

@@ -216,9 +216,6 @@ ORACLE: dict[str, str] = {
     "contact_border": SHEET + "SELECT category, file, name, CASE WHEN status = 'recovered' THEN 'green' WHEN status IN ('flagged', 'failed') OR len(flags) > 0 THEN 'red' ELSE 'gray' END AS border FROM entries",
     "contact_uncategorised": SHEET + "SELECT file FROM entries WHERE category = 'UNCATEGORIZED'",
     "contact_layout": SHEET + ", tops AS (SELECT category, 32 + coalesce(sum(28 + ceil(n / 20) * 104) OVER (ORDER BY category ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS top FROM heads), i AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY name, file) - 1 AS i FROM entries) SELECT i.category, file, name, CAST(4 + i % 20 * 104 AS BIGINT) AS x, CAST(top + i // 20 * 104 AS BIGINT) AS y FROM i JOIN tops USING (category)",
-    "lab_distance_vectors": "SELECT vec_id, round(sqrt(pow(0.5 * (CAST(embedding[1] AS DOUBLE) - 1.0), 2) + pow(CAST(embedding[2] AS DOUBLE) - 0.5, 2) + pow(CAST(embedding[3] AS DOUBLE) - 0.5, 2)), 6) AS distance FROM embeddings",
-    "pixel_table_bbox": r.ctes("pixels") + "SELECT min(x) AS x, min(y) AS y, max(x) - min(x) + 1 AS w, max(y) - min(y) + 1 AS h, count(*) AS pixels FROM pixels WHERE value < 200",
-    "pixel_table_border_white": r.ctes("pixels") + ", e AS (SELECT max(x) AS mx, max(y) AS my FROM pixels), s AS (SELECT value, CAST(x < 5 AS INT) + CAST(x > mx - 5 AS INT) + CAST(y < 5 AS INT) + CAST(y > my - 5 AS INT) AS n FROM pixels, e) SELECT CAST(sum(n) AS BIGINT) AS border, CAST(sum(CASE WHEN value > 250 THEN n ELSE 0 END) AS BIGINT) AS white FROM s",
     "file_hash": "SELECT event_id, sha256(props) AS sha256 FROM events",
     "quota_remaining": _USED + "SELECT customer, quota, CAST(used AS BIGINT) AS used, CAST(quota - used AS BIGINT) AS remaining FROM p",
     "invoice_overage": _USED + "SELECT customer, CAST(greatest(0, used - quota) AS BIGINT) AS over, CAST(CAST(base + CAST(greatest(0, used - quota) AS DECIMAL(10,0)) * overage AS DECIMAL(10,2)) AS DOUBLE) AS total FROM p",

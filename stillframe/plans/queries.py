@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import GateRules, GlobalRules, category_table
 from ..functions import flags as fl
-from ..functions.text import sanitise
+from ..functions.text import digest, sanitise
 from ..operators import contact, control, diff, gate, geometry, mapping, rename, stats, usage, validation
 from . import relations as r
 
@@ -396,31 +396,9 @@ def contact_uncategorised(s, d):
     return _sheet(s, d).where("category = 'UNCATEGORIZED'").select("file")
 
 
-@query
-def lab_distance_vectors(s, d):
-    e = r.spark(s, d, "SELECT vec_id, embedding FROM {embeddings}")
-    part = lambda i, k, w: F.pow(w * (F.col("embedding")[i].cast("double") - k), 2)
-    return e.select("vec_id", F.round(F.sqrt(part(0, 1.0, 0.5) + part(1, 0.5, 1.0) + part(2, 0.5, 1.0)), 6).alias("distance"))
-
-
-@query
-def pixel_table_bbox(s, d):
-    inside = r.spark(s, d, r.PIXELS).where("value < 200")
-    return inside.agg(F.min("x").alias("x"), F.min("y").alias("y"), (F.max("x") - F.min("x") + 1).alias("w"), (F.max("y") - F.min("y") + 1).alias("h"), F.count("*").alias("pixels"))
-
-
-@query
-def pixel_table_border_white(s, d):
-    """Share of white on four border strips of 5 pixels; corners are in two strips and count twice."""
-    p = r.spark(s, d, r.PIXELS)
-    end = p.agg(F.max("x").alias("x"), F.max("y").alias("y")).first()
-    strips = [c for k in "xy" for c in (F.col(k) < 5, F.col(k) > end[k] - 5)]
-    return p.withColumn("n", sum((c.cast("long") for c in strips), F.lit(0))).agg(F.sum("n").alias("border"), F.sum(F.when(F.col("value") > 250, F.col("n")).otherwise(0)).alias("white"))
-
-
 @query
 def file_hash(s, d):
-    return r.spark(s, d, "SELECT event_id, props FROM {events}").select("event_id", F.sha2(F.col("props").cast("binary"), 256).alias("sha256"))
+    return r.spark(s, d, "SELECT event_id, props FROM {events}").select("event_id", digest(F.col("props").cast("binary")).alias("sha256"))
 
 
 for _name in usage.QUERIES:
