@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 log = logging.getLogger(__name__)
 
 
+# The names of the settings in a rules file, and their defaults.
+
+
 @dataclass
 class GlobalRules:
     canvas_size: int = 1000
@@ -145,21 +148,21 @@ def shared(g: GlobalRules) -> dict[str, Any]:
     return {f.name: getattr(g, f.name) for f in fields(CategoryRules) if hasattr(g, f.name)}
 
 
+def layered(name: str, given: dict[str, Any] | None, g: GlobalRules) -> CategoryRules:
+    """A category's settings: those shared with the globals, over them its own, over these the ends of its fill ratio."""
+    own = dict(given or {})
+    pair = own.pop("target_fill_ratio", None)
+    ends = zip(("target_fill_ratio_min", "target_fill_ratio_max"), map(float, pair)) if isinstance(pair, list) and len(pair) == 2 else ()
+    return fill_in(CategoryRules(), {**shared(g), **own, **dict(ends), "name": name})
+
+
 def parse(raw: dict[str, Any] | None) -> Rules:
     """Rules from the parsed file; categories inherit the shared settings of its globals."""
-    raw = raw or {}
-    g = fill_in(GlobalRules(), raw.get("global") or {})
-    categories = {}
-    for name, given in (raw.get("categories") or {}).items():
-        given = dict(given or {})
-        pair = given.pop("target_fill_ratio", None)
-        own = fill_in(CategoryRules(), {**shared(g), **given, "name": name})
-        if isinstance(pair, list) and len(pair) == 2:
-            own = replace(own, target_fill_ratio_min=float(pair[0]), target_fill_ratio_max=float(pair[1]))
-        if name not in KNOWN:
-            log.warning("category %r is none of %s", name, ", ".join(sorted(KNOWN)))
-        categories[name] = own
-    return Rules(g, fill_in(FallbackRules(), raw.get("fallback") or {}), fill_in(GateRules(), raw.get("quality_gate") or {}), categories)
+    part = lambda key: (raw or {}).get(key) or {}
+    g, given = fill_in(GlobalRules(), part("global")), part("categories")
+    for name in given.keys() - KNOWN.keys():
+        log.warning("category %r is none of %s", name, ", ".join(sorted(KNOWN)))
+    return Rules(g, fill_in(FallbackRules(), part("fallback")), fill_in(GateRules(), part("quality_gate")), {name: layered(name, own, g) for name, own in given.items()})
 
 
 def load(path: str) -> Rules:
