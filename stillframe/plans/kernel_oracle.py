@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..config import KNOWN, GlobalRules
 from . import kernel_queries as k
 from . import relations as r
+from .oracle import boxes, checks
 
 G = GlobalRules()
 ALL = (1 << r.SIDE) - 1
@@ -97,7 +98,15 @@ LAB_DISTANCE = f"""WITH v AS (SELECT vec_id, (i - 1) // 3 AS pixel, CASE (i - 1)
 d AS (SELECT vec_id, pixel, sum(q) AS q FROM v GROUP BY ALL)
 SELECT vec_id, CAST(sum(q) AS BIGINT) AS quarters, count(*) FILTER (WHERE q > 4 * 144) AS off_white FROM d GROUP BY vec_id"""
 
+#: Opening by an ellipse of five rows takes two pixels from each corner of a rectangle; thin things are not opened.
+_OBJECTS = f"SELECT *, 64 AS img_w, 64 AS img_h, w * h - CASE WHEN category = 'CLUB_LONG' THEN 0 ELSE 8 END AS px, 4000 * px AS tenfold FROM ({r.duck(r.OBJECTS)})"
+_found = lambda names: ", ".join(f"CASE WHEN found THEN CAST({n} AS BIGINT) END AS {n}" for n in names)
+PRIMARY = boxes(_OBJECTS, k.CANVAS) + f""", seen AS (SELECT *, px >= min_component_size AS found FROM measured)
+SELECT id, category, CASE WHEN found THEN coalesce(array_to_string({checks(1.0, None)}, ','), '') ELSE 'mask_too_fragmented,no_object_found,mask_too_small' END AS flags, {_found(("ex", "ey", "ew", "eh"))},
+  CASE WHEN found THEN px END AS pixels, CASE WHEN found THEN round(fill_ratio, 6) END AS fill_ratio, CASE WHEN found THEN CAST(round(crop_area_ratio * 64 * 64) AS BIGINT) END AS crop_px, {_found(["margin_px"])} FROM seen"""
+
 ORACLE = {
+    "kernel_primary": PRIMARY,
     "kernel_masks": MASKS,
     "kernel_morphology": MORPHOLOGY,
     "kernel_components": COMPONENTS,

@@ -63,7 +63,9 @@ def lookup(images: str) -> str:
 
 LOOKUP = lookup(r.duck(r.IMAGES))
 
-BOXES = "WITH " + RULES + f""", boxes AS ({r.duck(r.BOXES)}),
+def boxes(relation: str, canvas: int) -> str:
+    """Boxes of objects with their margins, sizes on a canvas and measures."""
+    return "WITH " + RULES + f""", boxes AS ({relation}),
 b AS (SELECT boxes.*, rules.* EXCLUDE (name) FROM boxes JOIN rules ON rules.name = CASE WHEN boxes.category IN (SELECT name FROM rules) THEN boxes.category ELSE '' END),
 c AS (SELECT *, CASE WHEN margin_mode = 'object' THEN w ELSE greatest(img_w, img_h) END AS ref_x, CASE WHEN margin_mode = 'object' THEN h ELSE greatest(img_w, img_h) END AS ref_y, thin_object_protection AND greatest(w, h) / least(w, h) > 3.0 AS thin FROM b),
 d AS (SELECT *, trunc(ref_y * CASE WHEN margin_top < 0 THEN margin_pct ELSE margin_top END) AS t0, trunc(ref_y * CASE WHEN margin_bottom < 0 THEN margin_pct ELSE margin_bottom END) AS b0,
@@ -73,19 +75,23 @@ f AS (SELECT *, x - l1 AS x1, y - t1 AS y1, w + l1 + r1 AS w1, h + t1 + b1 AS h1
 g AS (SELECT *, CASE WHEN thin AND w1 < least_side THEN floor((least_side - w1) / 2) ELSE 0 END AS gw, CASE WHEN thin AND w1 >= least_side AND h1 < least_side THEN floor((least_side - h1) / 2) ELSE 0 END AS gh FROM f),
 k AS (SELECT *, greatest(0, x1 - gw) AS ex, greatest(0, y1 - gh) AS ey FROM g),
 expanded AS (SELECT *, greatest(0, least(img_w, x1 + w1 + gw) - ex) AS ew, greatest(0, least(img_h, y1 + h1 + gh) - ey) AS eh FROM k),
-s0 AS (SELECT *, least(trunc({q.CANVAS} * target_fill_ratio_max) / greatest(1, ew), trunc({q.CANVAS} * target_fill_ratio_max) / greatest(1, eh)) AS sc0 FROM expanded),
-s1 AS (SELECT *, CASE WHEN sc0 > 1 AND target_fill_ratio_max < 0.8 THEN least(1.0, {q.CANVAS} / greatest(1, ew, eh)) ELSE sc0 END AS sc, least(min_output_px / greatest(1, ew, eh), {q.CANVAS} / greatest(1, ew, eh)) AS up FROM s0),
+s0 AS (SELECT *, least(trunc({canvas} * target_fill_ratio_max) / greatest(1, ew), trunc({canvas} * target_fill_ratio_max) / greatest(1, eh)) AS sc0 FROM expanded),
+s1 AS (SELECT *, CASE WHEN sc0 > 1 AND target_fill_ratio_max < 0.8 THEN least(1.0, {canvas} / greatest(1, ew, eh)) ELSE sc0 END AS sc, least(min_output_px / greatest(1, ew, eh), {canvas} / greatest(1, ew, eh)) AS up FROM s0),
 s2 AS (SELECT *, greatest(1, trunc(ew * sc)) AS nw, greatest(1, trunc(eh * sc)) AS nh FROM s1),
 sized AS (SELECT *, CASE WHEN min_output_px > 0 AND greatest(nw, nh) < min_output_px THEN greatest(1, trunc(ew * up)) ELSE nw END AS rw, CASE WHEN min_output_px > 0 AND greatest(nw, nh) < min_output_px THEN greatest(1, trunc(eh * up)) ELSE nh END AS rh FROM s2),
-measured AS (SELECT *, ew < 1 OR eh < 1 AS degenerate, greatest(rw, rh) / {float(q.CANVAS)} AS fill_ratio, ew * eh / greatest(1, img_w * img_h) AS crop_area_ratio, greatest(x - ex, y - ey, ex + ew - x - w, ey + eh - y - h, 0) AS margin_px FROM sized)
+measured AS (SELECT *, ew < 1 OR eh < 1 AS degenerate, greatest(rw, rh) / {float(canvas)} AS fill_ratio, ew * eh / greatest(1, img_w * img_h) AS crop_area_ratio, greatest(x - ex, y - ey, ex + ew - x - w, ey + eh - y - h, 0) AS margin_px FROM sized)
 """
 
 
+BOXES = boxes(r.duck(r.BOXES), q.CANVAS)
+
+
 def big(*names: str) -> str:
     return ", ".join(f"CAST({n} AS BIGINT) AS {n}" for n in names)
 
 
-def validate(t: float) -> str:
+def checks(t: float, edge: str | None) -> str:
+    """The flags of a row of ``measured``, as a list; ``edge`` is the distance from the canvas's edge."""
     own = lambda c, other: f"(CASE WHEN {c} > 0 THEN {c} ELSE {other} END * {t})"
     area, aspect = "greatest(1, img_w * img_h)", "(greatest(w, h) / greatest(1, least(w, h)))"
     rules = {
@@ -95,10 +101,15 @@ def validate(t: float) -> str:
         "crop_category_inconsistent": f"w > 0 AND h > 0 AND ({aspect} < expected_aspect_ratio_min * {t} OR {aspect} > expected_aspect_ratio_max / {t})",
         "fill_ratio_too_low": f"fill_ratio > 0 AND fill_ratio < target_fill_ratio_min * {t}",
         "fill_ratio_too_high": f"fill_ratio > 0 AND fill_ratio > least(1.0, target_fill_ratio_max / {t})",
-        "object_too_close_to_edge": f"edge_proximity_px > 0 AND id % 9 < greatest(1, trunc(edge_proximity_px * {t}))",
     }
+    if edge is not None:
+        rules["object_too_close_to_edge"] = f"edge_proximity_px > 0 AND {edge} < greatest(1, trunc(edge_proximity_px * {t}))"
     cases = ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in rules.items())
-    return BOXES + f"SELECT id, x, y, w, h, category, coalesce(array_to_string([f FOR f IN [{cases}] IF f IS NOT NULL], ','), '') AS flags FROM measured"
+    return f"[f FOR f IN [{cases}] IF f IS NOT NULL]"
+
+
+def validate(t: float) -> str:
+    return BOXES + f"SELECT id, x, y, w, h, category, coalesce(array_to_string({checks(t, 'id % 9')}, ','), '') AS flags FROM measured"
 
 
 GATE = AFTER + f", g AS (SELECT *, CASE WHEN coalesce(category, '') = '' THEN 'UNKNOWN' ELSE category END AS cat, status IN {GOOD} AS good FROM after), breaches AS (SELECT cat AS category, count(*) AS total, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE good) / count(*) AS rate FROM g GROUP BY cat HAVING count(*) >= {q.GATE.min_samples} AND count(*) FILTER (WHERE good) / count(*) < {q.GATE.min_success_rate})"

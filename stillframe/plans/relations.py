@@ -73,6 +73,13 @@ SELECT CAST(p_partkey AS BIGINT) AS part, p_partkey % 3 = 0 AS see_through,
   CAST(3 + (p_partkey * 13 + p_size) % 24 AS BIGINT) AS x3, CAST((p_partkey * 3) % 26 AS BIGINT) AS y3, CAST(1 + (p_partkey * 3) % 5 AS BIGINT) AS w3, CAST(1 + length(p_type) % 6 AS BIGINT) AS h3
 FROM {part}"""
 
+#: One see-through picture of 64 x 64 pixels for each part, opaque in a rectangle that is no nearer than 5 pixels to an edge.
+OBJECTS = """
+SELECT CAST(p_partkey AS BIGINT) AS id, CAST(5 + p_partkey % 17 AS BIGINT) AS x, CAST(5 + p_size % 19 AS BIGINT) AS y,
+  CAST(5 + (p_partkey * 7 + p_size) % 33 AS BIGINT) AS w, CAST(5 + (p_size * 3 + length(p_name)) % 31 AS BIGINT) AS h,
+  """ + _CATEGORY.format(key="p_partkey") + """ AS category
+FROM {part}"""
+
 
 def _flags(text: str, duck: bool) -> str:
     def write(m: re.Match) -> str:
