@@ -13,8 +13,8 @@ The most frequent words are classes and neighbours of their own; others share
 them by their endings, but not their counts. Both factors are distributions.
 
 The network is trained in numpy where the documents are: each partition takes
-steps from the same start over every STRIDE-th token that it has, and the
-results are averaged by their numbers of tokens. The same pass takes the second
+steps from the same start over every token that it has, and the results are
+averaged by their numbers of tokens. The same pass takes the second
 factor and writes every text as symbols, which the network then scores.
 """
 
@@ -36,8 +36,8 @@ from .common import ROWS, Scratch, map_rows, with_rows
 #: Classes to predict, the first OWN of which are single words; symbols of neighbours, of which the edge of a text is the first, then single words, then endings.
 CLASSES, OWN, SYMBOLS, OWN_SYMBOLS, LETTERS = 256, 128, 2048, 1023, 3
 ENDINGS = SYMBOLS - OWN_SYMBOLS - 1
-#: Tokens on each side, hidden units, every which token is trained on, tokens of a step, learning rate and start.
-WINDOW, HIDDEN, STRIDE, BATCH, RATE, SEED = 2, 32, 8, 1024, 0.1, 1
+#: Tokens on each side, hidden units, tokens of a step, learning rate and start.
+WINDOW, HIDDEN, BATCH, RATE, SEED = 2, 32, 1024, 0.1, 1
 #: What a word that no other document has counts as.
 UNSEEN = 0.5
 #: Counts of the most frequent words, so many at most, are sent to the executors; others are joined.
@@ -207,37 +207,45 @@ class Network:
         q -= np.log(np.exp(q).sum(1, keepdims=True))
         return hidden, q
 
+    def _scores(self, around: np.ndarray, weights: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden units with a column of ones, and by weights with the biases under them the classes' exponents, bounded so that they can be taken."""
+        hidden = np.ones((len(around), HIDDEN + 1), self.o.dtype)
+        hidden[:, :HIDDEN] = self._hidden(around)
+        q = hidden @ weights
+        if not small:
+            q -= q.max(1, keepdims=True)
+        return hidden, q
+
+    def _weights(self) -> tuple[np.ndarray, bool]:
+        """Weights with the biases under them; and whether no exponent is too large, as hidden units are within 1."""
+        weights = np.vstack((self.o, self.b))
+        return weights, float(np.abs(weights).sum(0).max()) < 80
+
     def log_p_of(self, flat: np.ndarray, at: np.ndarray, kinds: np.ndarray) -> np.ndarray:
         """Log probability of the class of each token at some places."""
-        out = np.empty(len(kinds))
-        # hidden units are within 1, so this bounds what is exponentiated
-        small = float(np.abs(self.o).sum(0).max() + np.abs(self.b).max()) < 80
+        out, (weights, small) = np.empty(len(kinds)), self._weights()
+        ones = np.ones(CLASSES, weights.dtype)
         for lo in range(0, len(kinds), SLICE):
             own = kinds[lo : lo + SLICE]
-            q = self._hidden(_around(flat, at[lo : lo + SLICE])) @ self.o
-            q += self.b
-            if not small:
-                q -= q.max(1, keepdims=True)
+            _, q = self._scores(_around(flat, at[lo : lo + SLICE]), weights, small)
             of = q[np.arange(len(own)), own]
-            out[lo : lo + SLICE] = of - np.log(np.exp(q, out=q).sum(1))
+            out[lo : lo + SLICE] = of - np.log(np.exp(q, out=q) @ ones)
         return out
 
     def gradients(self, around: np.ndarray, kinds: np.ndarray) -> dict:
         """Of the mean log probability of the classes; those of e as rows and their sums."""
-        hidden = self._hidden(around)
-        q = hidden @ self.o
-        q += self.b
-        q -= q.max(1, keepdims=True)
+        weights, small = self._weights()
+        hidden, q = self._scores(around, weights, small)
         np.exp(q, out=q)
-        q /= q.sum(1, keepdims=True)
-        q[np.arange(len(q)), kinds] -= 1
-        q /= -len(q)
-        back = (q @ self.o.T) * (1 - hidden**2)
-        rows = (around + np.arange(len(_PLACES)) * SYMBOLS).ravel()
+        q *= (-1 / (len(q) * (q @ np.ones(CLASSES, q.dtype))))[:, None].astype(q.dtype)
+        q[np.arange(len(q)), kinds] += 1 / len(q)
+        to = hidden.T @ q
+        back = (q @ self.o.T) * (1 - hidden[:, :HIDDEN] ** 2)
+        rows = (around + np.arange(len(_PLACES)) * SYMBOLS).ravel().astype(np.int16)  # sorted by their digits
         order = np.argsort(rows, kind="stable")
         first = np.flatnonzero(np.diff(rows[order], prepend=-1))
-        sums = np.add.reduceat(np.repeat(back, len(_PLACES), 0)[order], first) if len(rows) else back
-        return {"o": hidden.T @ q, "b": q.sum(0), "a": back.sum(0), "e": (rows[order][first], sums)}
+        sums = np.add.reduceat(back[order // len(_PLACES)], first) if len(rows) else back
+        return {"o": to[:HIDDEN], "b": to[HIDDEN], "a": back.sum(0), "e": (rows[order][first], sums)}
 
     def step(self, around: np.ndarray, kinds: np.ndarray, squares: dict) -> None:
         """One step upwards, by Adagrad."""
@@ -279,26 +287,25 @@ def _held(rows: Iterator[tuple], vocabulary: Vocabulary) -> Iterator[list[tuple]
 
 
 class Trainer:
-    """Takes every STRIDE-th token of what it is given, and steps when there are enough."""
+    """Takes every token of what it is given, and steps when there are enough."""
 
     def __init__(self, counts: Counts):
         self.network, self.kind = Network(counts.tokens), counts.kind
-        self.squares, self.pool, self.at, self.seen = {}, [], 0, 0
+        self.squares, self.pool, self.held, self.seen = {}, [], 0, 0
         self.rng = np.random.default_rng(SEED)
 
     def take(self, flat: np.ndarray, places: np.ndarray) -> None:
-        own = places[-self.at % STRIDE :: STRIDE]
-        self.at += len(places)
-        self.seen += len(own)
-        self.pool.append((_around(flat, own), self.kind[flat[own]]))
-        if sum(len(k) for _, k in self.pool) >= 64 * BATCH:
+        self.seen += len(places)
+        self.held += len(places)
+        self.pool.append((_around(flat, places), self.kind[flat[places]]))
+        if self.held >= 64 * BATCH:
             self.steps()
 
     def steps(self) -> None:
         if not self.pool:
             return
         around, kinds = (np.concatenate(x) for x in zip(*self.pool))
-        order, self.pool = self.rng.permutation(len(kinds)), []
+        order, self.pool, self.held = self.rng.permutation(len(kinds)), [], 0
         for lo in range(0, len(order), BATCH):
             own = order[lo : lo + BATCH]
             self.network.step(around[own], kinds[own], self.squares)

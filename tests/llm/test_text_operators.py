@@ -90,6 +90,25 @@ def test_both_factors_are_distributions(spark):
         assert (n[of == c] + masked_lm.UNSEEN).sum() + masked_lm.UNSEEN == pytest.approx(total)
 
 
+def test_every_place_is_trained_on_and_scored(spark):
+    """Each token of each text is met once in training, short texts and slices' ends included, and once in the sum."""
+    lengths = [0, 1, 3, 7, 9, 1024, 1025, 2500]
+    docs = docs_of(spark, [(i, " ".join(f"w{k % 40}" for k in range(n)), "en") for i, n in enumerate(lengths)]).coalesce(1)
+    _, counts = masked_lm.count_words(docs, "text", Scratch(spark, "test"))
+    encoded = masked_lm.encode(docs.selectExpr("doc_id as row", "doc_id as id", "text"), counts)
+    assert [r.seen for r in encoded.where("network is not null").collect()] == [sum(lengths)]
+    trainer, met = masked_lm.Trainer(counts), []
+    trainer.network.step = lambda around, kinds, squares: met.extend(map(tuple, around.tolist()))
+    symbols = [np.arange(lo, lo + n, dtype=np.int16) for lo, n in zip(np.cumsum([1, *lengths[:-1]]) % 900, (n % 900 for n in lengths))]
+    flat, places, _ = masked_lm._laid_out(symbols)
+    trainer.take(flat, places)
+    trainer.steps()
+    assert sorted(met) == sorted(map(tuple, masked_lm._around(flat, places).tolist()))
+    network = trainer.network
+    kinds = counts.kind[flat[places]]
+    assert network.log_p_of(flat, places, kinds) == pytest.approx([network.log_p(masked_lm._around(flat, places[i : i + 1]))[1][0, k] for i, k in enumerate(kinds)], abs=1e-4)
+
+
 def test_gradients_like_differences():
     rng = np.random.default_rng(3)
     network = masked_lm.Network(np.ones(masked_lm.CLASSES))
