@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, remembered
 
 DIMENSIONS, SEED = 1024, 9
 #: Trigrams whose vectors a worker remembers, and trigrams that are bundled at a time.
@@ -82,15 +82,9 @@ class Encoder:
         return total
 
 
-_encoder: Encoder | None = None
-
-
 def encoder() -> Encoder:
     """One for each Python worker."""
-    global _encoder
-    if _encoder is None:
-        _encoder = Encoder()
-    return _encoder
+    return remembered("language_id", Encoder)
 
 
 def held_out(id_col: str) -> Column:

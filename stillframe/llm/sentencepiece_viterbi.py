@@ -25,8 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import PIECE_CHARS, remembered, tidied
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
+#: Characters of units that are cut together, which bounds the arrays over all their pieces.
+TOGETHER = 100_000
 #: Units that a worker remembers, and as many older ones; longer ones than this many characters are not remembered.
 REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
 UNKNOWN_PENALTY = 10.0
@@ -304,7 +308,7 @@ class Codec:
         for u in sorted(new, key=len):
             todo.append(u)
             size += len(u) + 1
-            if size > 500_000:
+            if size > TOGETHER:
                 self.known.update(zip(todo, self._viterbi(todo)))
                 todo, size = [], 0
         if todo:
@@ -327,15 +331,9 @@ class Codec:
             return text.decode("utf-8", "replace")
 
 
-_codec: Codec | None = None
-
-
 def _codec_of(model: Model) -> Codec:
     """One for each worker; a broadcast value is the same object in all tasks of a worker."""
-    global _codec
-    if _codec is None or _codec.m is not model:
-        _codec = Codec(model)
-    return _codec
+    return remembered("sentencepiece", lambda: Codec(model), lambda codec: codec.m is model)
 
 
 def encode(docs: DataFrame, keep: list[str], text_col: str = "text", model: str = MODEL) -> DataFrame:
@@ -357,7 +355,7 @@ def encode(docs: DataFrame, keep: list[str], text_col: str = "text", model: str
             sizes = np.cumsum([len(x) for x in (t.as_py() for t in whole.column(len(names)))])
             while at < whole.num_rows:  # in pieces of bounded text
                 base = sizes[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(sizes, base + 2_000_000, "right")))
+                to = max(at + 1, int(np.searchsorted(sizes, base + PIECE_CHARS, "right")))
                 b = whole.slice(at, to - at)
                 at = to
                 texts = b.column(len(names)).to_pylist()
@@ -369,4 +367,4 @@ def encode(docs: DataFrame, keep: list[str], text_col: str = "text", model: str
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], lists, pa.array(n, pa.int64()), pa.array(by, pa.int64()), pa.array(same, pa.bool_())], names=[*names, "ids", "n_tokens", "n_byte_tokens", "round_trip"])
 
     schema = ", ".join(f"{n} {d.schema[n].dataType.simpleString()}" for n in names)
-    return d.mapInArrow(run, f"{schema}, ids array<int>, n_tokens long, n_byte_tokens long, round_trip boolean").toDF(*keep, "ids", "n_tokens", "n_byte_tokens", "round_trip")
+    return d.mapInArrow(tidied(run), f"{schema}, ids array<int>, n_tokens long, n_byte_tokens long, round_trip boolean").toDF(*keep, "ids", "n_tokens", "n_byte_tokens", "round_trip")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_rows, with_rows
+from .common import Scratch, map_rows, remembered, tidied, with_rows
 
 WINDOW, ANCHOR = 35, 18
 RUNS = WINDOW - ANCHOR + 1
@@ -48,9 +48,6 @@ class _Hashes(dict):
         return h
 
 
-_hashes = _Hashes()
-
-
 def _mix(v: np.ndarray) -> np.ndarray:
     v = (v ^ (v >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     v = (v ^ (v >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -70,7 +67,7 @@ def _runs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(remembered("substring", _Hashes).__getitem__, words), np.uint64, len(words))
 
 
 def blocks(words: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -131,7 +128,7 @@ def _index(docs: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select("id", "text").mapInArrow(run, "h long, block long, id long, first int, count int")
+    return docs.select("id", "text").mapInArrow(tidied(run), "h long, block long, id long, first int, count int")
 
 
 def _pack(tag: int) -> F.Column:
@@ -152,7 +149,7 @@ def _looked_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(np.full(len(a), i, np.int64)), pa.array(starts.astype(np.int32)), pa.array(np.repeat(p & 3, count).astype(np.int32))], schema=schema)
 
     each = wanted.groupBy("id").agg(F.collect_list("packed").alias("packed"))
-    return docs.select("id", "text").join(each, "id").select("id", "text", "packed").mapInArrow(run, "a long, b long, id long, first int, weight int")
+    return docs.select("id", "text").join(each, "id").select("id", "text", "packed").mapInArrow(tidied(run), "a long, b long, id long, first int, weight int")
 
 
 def cut(text: str, covered: np.ndarray, layout: bool) -> str:

@@ -1,8 +1,11 @@
 """Viterbi pieces against the library's own unigram search, and exact round trips."""
 
+import gc
 import os
 import random
 import struct
+import tracemalloc
+import weakref
 
 import numpy as np
 import pytest
@@ -172,3 +175,59 @@ def test_rows(spark):
     got = sv.encode(docs, ["doc_id"]).collect()
     assert sorted((r.doc_id, r.n_tokens > 0, r.round_trip) for r in got) == [(1, True, True), (1, True, True), (2, False, True), (3, False, True), (4, True, True)]
     assert sv.encode(docs.limit(0), ["doc_id"]).count() == 0
+
+
+# --- the memory of workers, which go on from one stage of the pipeline to the next
+
+
+def test_a_worker_remembers_for_one_operator_only(codec):
+    from stillframe.llm import language_id, substring
+
+    of_languages = weakref.ref(language_id.encoder())
+    assert language_id.encoder() is of_languages()
+    substring._word_hashes([b"a", b"b"])
+    gc.collect()
+    assert of_languages() is None
+    first = weakref.ref(sv._codec_of(codec.m))
+    assert sv._codec_of(codec.m) is first()
+    sv._codec_of(sv.load())
+    gc.collect()
+    assert first() is None
+
+
+def test_workers_give_memory_back(spark):
+    """A worker that held 300 MB has not kept them when it is idle or at the next task."""
+    from stillframe.llm.common import map_rows
+
+    def own():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(x.split()[1]) for x in f if x.startswith("Private_Dirty")) // 1024
+
+    def fill(rows):
+        import stillframe.llm.common as common
+
+        list(rows)
+        held = [bytes(3000) for _ in range(100_000)]
+        common.pinned = held[::200]  # so that the heap's end can't move
+        yield os.getpid(), own()
+
+    def look(rows):
+        list(rows)
+        yield os.getpid(), own()
+
+    one = spark.range(0, 1, 1, 1)
+    ((pid, most),) = map_rows(one, ["id"], "pid long, mb long", fill).collect()
+    later = [r.mb for _ in range(12) for r in map_rows(one, ["id"], "pid long, mb long", look).collect() if r.pid == pid]
+    assert most > 300 and later and max(later) < most - 200
+
+
+def test_new_units_are_cut_a_part_at_a_time(codec):
+    """Cutting a million characters of new units takes no more than some of them need."""
+    rng = random.Random(8)
+    text = " ".join("".join(rng.choice("abcdefghij") for _ in range(12)) for _ in range(80_000))
+    own = sv.Codec(codec.m)
+    tracemalloc.start()
+    own.encode([text])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 110e6
