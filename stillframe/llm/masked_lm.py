@@ -44,6 +44,8 @@ UNSEEN = 0.5
 MOST_SENT = 1 << 18
 #: Words that a worker remembers, tokens that are handled at a time, and of these so many in the network.
 REMEMBERED, HELD, SLICE = 1 << 20, 200_000, 1024
+#: Keys whose values are added one key after the other.
+FEW = 24
 _PLACES = [d for d in range(-WINDOW, WINDOW + 1) if d]
 
 
@@ -171,10 +173,28 @@ class Vocabulary(dict):
             self._start()
 
 
+def _summed(keys: np.ndarray, of: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, those of most values first, and for each the sum of its ``values[of]``."""
+    order = np.argsort(keys, kind="stable")
+    keys, of = keys[order], of[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    many = np.diff(first, append=len(keys))
+    by = np.argsort((-many).astype(np.int16 if len(keys) < 1 << 15 else np.int64), kind="stable")
+    first, many = first[by], many[by]
+    sums, k = values.take(of[first], 0), 1
+    while (more := int(np.searchsorted(-many, -k))) > FEW:  # the next value of all keys that have one
+        sums[:more] += values.take(of[first[:more] + k], 0)
+        k += 1
+    for j in range(more):
+        sums[j] += values.take(of[first[j] + k : first[j] + many[j]], 0).sum(0)
+    return keys[first], sums
+
+
 class Network:
     """The class of a token by its neighbours."""
 
     NAMES = ("e", "a", "o", "b")
+    room: np.ndarray | None = None
 
     def __init__(self, prior: np.ndarray, seed: int = SEED):
         rng = np.random.default_rng(seed)
@@ -193,9 +213,10 @@ class Network:
             at += x.size
 
     def _hidden(self, around: np.ndarray) -> np.ndarray:
-        hidden = self.a + self.e[around[:, 0]]
+        hidden = self.e.take(around[:, 0], 0, mode="clip")  # which spares a copy; there is no place outside
+        hidden += self.a
         for k in range(1, len(_PLACES)):
-            hidden += self.e[around[:, k] + k * SYMBOLS]
+            hidden += self.e.take(around[:, k] + k * SYMBOLS, 0, mode="clip")
         return np.tanh(hidden, out=hidden)
 
     def log_p(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,10 +229,12 @@ class Network:
         return hidden, q
 
     def _scores(self, around: np.ndarray, weights: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden units with a column of ones, and by weights with the biases under them the classes' exponents, bounded so that they can be taken."""
+        """Hidden units with a column of ones, and by weights with the biases under them the classes' exponents, bounded so that they can be taken; these stand in the network's own room."""
         hidden = np.ones((len(around), HIDDEN + 1), self.o.dtype)
         hidden[:, :HIDDEN] = self._hidden(around)
-        q = hidden @ weights
+        if self.room is None or len(self.room) < len(around) or self.room.dtype != weights.dtype:
+            self.room = np.empty((max(BATCH, len(around)), CLASSES), weights.dtype)  # new pages for each step would take longer than what is done with them
+        q = np.matmul(hidden, weights, out=self.room[: len(around)])
         if not small:
             q -= q.max(1, keepdims=True)
         return hidden, q
@@ -219,7 +242,7 @@ class Network:
     def _weights(self) -> tuple[np.ndarray, bool]:
         """Weights with the biases under them; and whether no exponent is too large, as hidden units are within 1."""
         weights = np.vstack((self.o, self.b))
-        return weights, float(np.abs(weights).sum(0).max()) < 80
+        return weights, float(np.abs(weights).sum(0).max()) < 60
 
     def log_p_of(self, flat: np.ndarray, at: np.ndarray, kinds: np.ndarray) -> np.ndarray:
         """Log probability of the class of each token at some places."""
@@ -236,24 +259,28 @@ class Network:
         """Of the mean log probability of the classes; those of e as rows and their sums."""
         weights, small = self._weights()
         hidden, q = self._scores(around, weights, small)
-        np.exp(q, out=q)
-        q *= (-1 / (len(q) * (q @ np.ones(CLASSES, q.dtype))))[:, None].astype(q.dtype)
-        q[np.arange(len(q)), kinds] += 1 / len(q)
-        to = hidden.T @ q
-        back = (q @ self.o.T) * (1 - hidden[:, :HIDDEN] ** 2)
+        total = np.exp(q, out=q) @ np.ones(CLASSES, q.dtype)
+        q[np.arange(len(q)), kinds] -= total
+        share = (-1 / (len(q) * total)).astype(q.dtype)[:, None]  # by which the narrow sides are multiplied, not q
+        to = (q.T @ (hidden[:, :HIDDEN] * share)).T
+        back = (q @ self.o.T) * (share * (1 - hidden[:, :HIDDEN] ** 2))
         rows = (around + np.arange(len(_PLACES)) * SYMBOLS).ravel().astype(np.int16)  # sorted by their digits
-        order = np.argsort(rows, kind="stable")
-        first = np.flatnonzero(np.diff(rows[order], prepend=-1))
-        sums = np.add.reduceat(back[order // len(_PLACES)], first) if len(rows) else back
-        return {"o": to[:HIDDEN], "b": to[HIDDEN], "a": back.sum(0), "e": (rows[order][first], sums)}
+        return {"o": to, "b": share[:, 0] @ q, "a": back.sum(0), "e": _summed(rows, np.repeat(np.arange(len(q)), len(_PLACES)), back)}
 
     def step(self, around: np.ndarray, kinds: np.ndarray, squares: dict) -> None:
         """One step upwards, by Adagrad."""
         for k, g in self.gradients(around, kinds).items():
-            x, s = getattr(self, k), squares.setdefault(k, np.full(getattr(self, k).shape, 1e-8, np.float32))
-            at, g = g if k == "e" else (slice(None), g)
-            s[at] += g * g
-            x[at] += RATE * g / np.sqrt(s[at])
+            x = getattr(self, k)
+            if k not in squares:
+                squares[k] = np.full(x.shape, 1e-8, np.float32)
+            at, g = g if k == "e" else (np.arange(len(x)), g)
+            s = squares[k].take(at, 0, mode="clip")
+            s += g * g
+            squares[k][at] = s
+            np.divide(g, np.sqrt(s, out=s), out=s)
+            s *= RATE
+            s += x.take(at, 0, mode="clip")
+            x[at] = s
 
 
 def _laid_out(symbols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -267,7 +294,7 @@ def _laid_out(symbols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def _around(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The neighbours of the tokens at some places."""
-    return flat[at[:, None] + np.array(_PLACES)]
+    return flat.take(at[:, None] + np.array(_PLACES), mode="clip")
 
 
 def _held(rows: Iterator[tuple], vocabulary: Vocabulary) -> Iterator[list[tuple]]:
@@ -297,18 +324,20 @@ class Trainer:
     def take(self, flat: np.ndarray, places: np.ndarray) -> None:
         self.seen += len(places)
         self.held += len(places)
-        self.pool.append((_around(flat, places), self.kind[flat[places]]))
+        self.pool.append((flat, places))
         if self.held >= 64 * BATCH:
             self.steps()
 
     def steps(self) -> None:
         if not self.pool:
             return
-        around, kinds = (np.concatenate(x) for x in zip(*self.pool))
-        order, self.pool, self.held = self.rng.permutation(len(kinds)), [], 0
-        for lo in range(0, len(order), BATCH):
-            own = order[lo : lo + BATCH]
-            self.network.step(around[own], kinds[own], self.squares)
+        starts = np.cumsum([0, *(len(flat) for flat, _ in self.pool)])
+        flat = np.concatenate([flat for flat, _ in self.pool])
+        places = self.rng.permutation(np.concatenate([places + at for at, (_, places) in zip(starts, self.pool)]))
+        self.pool, self.held = [], 0
+        for lo in range(0, len(places), BATCH):
+            own = places[lo : lo + BATCH]
+            self.network.step(_around(flat, own), self.kind[flat[own]], self.squares)
 
 
 def _within(counts: Counts, vocabulary: Vocabulary, numbers: list[np.ndarray], text: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

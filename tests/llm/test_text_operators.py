@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -131,6 +132,33 @@ def test_gradients_like_differences():
             assert np.asarray(sums)[(i, *at[1:])] == pytest.approx(slope, abs=1e-6)
 
 
+def test_sums_of_rows_like_one_by_one():
+    rng = np.random.default_rng(4)
+    for n, kinds in ((1, 1), (40, 3), (4096, 2000), (4096, 9)):
+        keys, of, values = (rng.integers(0, kinds, n) ** 2).astype(np.int16), rng.integers(0, 50, n), rng.normal(0, 1, (50, 6))
+        want = np.zeros((int(keys.max()) + 1, 6))
+        np.add.at(want, keys, values[of])
+        at, sums = masked_lm._summed(keys, of, values)
+        assert sorted(at.tolist()) == np.unique(keys).tolist() and sums == pytest.approx(want[at])
+
+
+def test_steps_use_the_room_there_is():
+    """A step makes no table of all rows and none of all classes for each token; large weights give finite steps."""
+    rng = np.random.default_rng(6)
+    network, squares = masked_lm.Network(np.ones(masked_lm.CLASSES)), {}
+    around, kinds = rng.integers(0, masked_lm.SYMBOLS, (masked_lm.BATCH, 4)), rng.integers(0, masked_lm.CLASSES, masked_lm.BATCH)
+    network.step(around, kinds, squares)
+    tracemalloc.start()
+    network.step(around, kinds, squares)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1.8e6
+    for bound in (50, 79, 200):
+        network.o *= bound / np.abs(network._weights()[0]).sum(0).max()
+        found = network.gradients(around, kinds)
+        assert all(np.isfinite(g[1] if k == "e" else g).all() for k, g in found.items())
+
+
 def test_order_and_support_by_other_documents_raise_scores(spark):
     """Texts in the corpus's order score above the same words shuffled, copies above texts that occur once."""
     rng = random.Random(5)
